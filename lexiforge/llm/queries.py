@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, chat_format, quality_rules, token_counts, topk
+from . import bpe_codec, chat_format, near_dedup, quality_rules, token_counts, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,10 +49,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), 85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_exact_top_k, op3_bpe_round_trip, op4_chat_format, op9_quality_rules)
+        for f in (op1_token_counts, op2_exact_top_k, op3_bpe_round_trip, op4_chat_format, op9_quality_rules, op10_minhash_near_dedup)
     }
 
 
