@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, chat_format, near_dedup, quality_rules, token_counts, topk
+from . import bpe_codec, chat_format, near_dedup, quality_rules, suffix_dedup, token_counts, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chat(chat_format.text_parts(turns)))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -56,7 +60,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_exact_top_k, op3_bpe_round_trip, op4_chat_format, op9_quality_rules, op10_minhash_near_dedup)
+        for f in (op1_token_counts, op2_exact_top_k, op3_bpe_round_trip, op4_chat_format, op8_suffix_array_dedup, op9_quality_rules, op10_minhash_near_dedup)
     }
 
 
