@@ -17,8 +17,8 @@
    spanning set of verified links. No partner is capped or dropped.
 5. Components come from distributed star contractions.
 
-With 30 bands of 5 a pair at similarity 0.85 shares no bucket with probability
-2e-8; the sequential test adds 1e-9 at each of its 5 looks at most.
+With 40 bands of 5 a pair shares no bucket with probability 7e-11 at similarity
+0.85 and 1e-7 at 0.8; the sequential test adds 1e-9 at each of its 5 looks at most.
 
 Defined results for odd input: null, empty and wordless texts have no shingles,
 link with nothing and are kept; with fewer than five words the whole sequence
@@ -35,17 +35,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import shingle_sets
 from .staging import Staging
 
-BANDS, ROWS = 30, 5
+BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 #: Signature positions compared between two looks at the posterior.
-LOOK = 30
+LOOK = 40
 #: Posterior probability of reaching the threshold below which a pair is dropped.
 MISS = 1e-9
 #: Classes in a block of step 4.
@@ -275,7 +275,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 def keep_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One document of each component, the one with the smallest doc_id; repeated rows count as copies."""
-    marks = near_duplicates(docs, percent).where("kept").select("doc_id").distinct()
-    once = Window.partitionBy("doc_id").orderBy("doc_id")
-    kept = docs.join(marks, "doc_id", "left_semi")
-    return kept.withColumn("__n", F.row_number().over(once)).where("__n = 1").drop("__n").select(docs.columns)
+    marks = near_duplicates(docs, percent)
+    kept = docs.join(marks.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    again = marks.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    if not again.isEmpty():
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return kept.select(docs.columns)

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, chat_format, near_dedup, quality_rules, suffix_dedup, token_counts, topk
+from . import (
+    bpe_codec,
+    chat_format,
+    html_extract,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    topk,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +54,18 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chat(chat_format.text_parts(turns)))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
 
@@ -60,7 +83,18 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_exact_top_k, op3_bpe_round_trip, op4_chat_format, op8_suffix_array_dedup, op9_quality_rules, op10_minhash_near_dedup)
+        for f in (
+            op1_token_counts,
+            op2_exact_top_k,
+            op3_bpe_round_trip,
+            op4_chat_format,
+            op5_best_fit_packing,
+            op6_quality_classifier,
+            op7_html_extraction,
+            op8_suffix_array_dedup,
+            op9_quality_rules,
+            op10_minhash_near_dedup,
+        )
     }
 
 

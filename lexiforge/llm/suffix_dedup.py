@@ -146,11 +146,11 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> (doc_id, zstd of the bytes): half the size in a shuffle."""
+    """(doc_id, text, ...) -> (doc_id, zstd of the bytes, ...): half the size in a shuffle."""
     pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         raw = [pack((t or "").encode("utf-8", "surrogatepass")) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["doc_id", "packed"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary()), *batch.columns[2:]], names=["doc_id", "packed", *batch.schema.names[2:]])
 
 
 def _unpacked(raw: bytes) -> bytes:
@@ -382,35 +382,35 @@ def unite(lo: np.ndarray, hi: np.ndarray, n: int) -> list[tuple[int, int]]:
     return list(zip(turn[::2].tolist(), turn[1::2].tolist(), strict=True))
 
 
-CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-
-
-def _cut(with_text: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                out: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-                spans = part.column(2)
-                for i, (doc_id, packed) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
-                    raw, runs = _unpacked(packed), []
-                    if spans[i].is_valid:
-                        both = spans[i].values
-                        runs = unite(both.field("lo").to_numpy(), both.field("hi").to_numpy(), len(raw))
-                    ends = [0, *(x for r in runs for x in r), len(raw)]
-                    kept = b"".join([raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)]) if runs else raw
-                    out["doc_id"].append(doc_id)
-                    out["n_bytes"].append(len(raw))
-                    out["n_removed"].append(len(raw) - len(kept))
-                    out["n_spans"].append(len(runs))
-                    out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                    out["kept"].append(kept if with_text else None)
-                yield pa.RecordBatch.from_pydict(
-                    out,
-                    schema=pa.schema([("doc_id", pa.int64()), *((k, pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")), ("kept_sha256", pa.string()), ("kept", pa.binary())]),
-                )
-
-    return run
+def cut(raw: bytes, spans) -> tuple[bytes, int]:
+    """The bytes outside the spans, and the number of runs removed."""
+    if not spans.is_valid:
+        return raw, 0
+    runs = unite(spans.values.field("lo").to_numpy(), spans.values.field("hi").to_numpy(), len(raw))
+    ends = [0, *(x for r in runs for x in r), len(raw)]
+    return b"".join([raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)]), len(runs)
+
+
+CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for doc_id, packed, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            raw = _unpacked(packed.as_py())
+            kept, runs = cut(raw, spans)
+            rows.append({"doc_id": doc_id, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": runs, "kept_sha256": hashlib.sha256(kept).hexdigest()})
+        yield pa.RecordBatch.from_pylist(rows, schema=CUT)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            # a character that lost some of its bytes goes altogether
+            out = [cut(_unpacked(p.as_py()), s)[0].decode("utf-8", "ignore") for p, s in zip(part.column(1), part.column(2), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), part.column(3)], names=["text", "rest"])
 
 
 def repeated_strings(docs: DataFrame, staging: Staging, group: int = GROUP) -> DataFrame:
@@ -448,10 +448,20 @@ def repeated_strings(docs: DataFrame, staging: Staging, group: int = GROUP) -> D
     return merged
 
 
-def suffix_dedup(docs: DataFrame, with_text: bool = False, group: int = GROUP) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, the ``kept`` bytes, for each row of ``docs``."""
-    staging = Staging(docs.sparkSession, "suffix-dedup")
-    spans = repeated_strings(docs, staging, group)
+def suffix_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``docs`` (doc_id, text)."""
+    spans = repeated_strings(docs, Staging(docs.sparkSession, "suffix-dedup"), group)
     packed = docs.select("doc_id", "text").mapInArrow(_packed, "doc_id long, packed binary")
-    out = packed.join(spans, "doc_id", "left").select("doc_id", "packed", "spans").mapInArrow(_cut(with_text), CUT)
-    return out if with_text else out.drop("kept")
+    joined = packed.join(spans, "doc_id", "left").select("doc_id", "packed", "spans")
+    return joined.mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """The rows of ``docs`` with repeated strings cut from their texts, and n_chars, if there, set anew."""
+    spans = repeated_strings(docs, Staging(docs.sparkSession, "suffix-dedup"), group)
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
+    kind = rows.schema["rest"].dataType.simpleString()
+    packed = rows.mapInArrow(_packed, f"doc_id long, packed binary, rest {kind}")
+    cut_rows = packed.join(spans, "doc_id", "left").select("doc_id", "packed", "spans", "rest").mapInArrow(_texts, f"text string, rest {kind}")
+    out = cut_rows.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
