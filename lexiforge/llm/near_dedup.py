@@ -23,7 +23,8 @@ With 40 bands of 5 a pair shares no bucket with probability 7e-11 at similarity
 Defined results for odd input: null, empty and wordless texts have no shingles,
 link with nothing and are kept; with fewer than five words the whole sequence
 is the one shingle; rows that repeat a doc_id get a row each, with equal
-results; empty tables give none; other columns don't take part.
+results; rows without doc_id take no part and are kept; empty tables give none;
+other columns don't take part.
 """
 
 from __future__ import annotations
@@ -217,7 +218,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     texts = docs.select("doc_id", "text")
     sketch = staging.put(texts.mapInArrow(_sketch, SKETCH), "sketch")
     classes = staging.put(
-        sketch.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes"
+        sketch.where("n_shingles > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes"
     )
     bands = classes.select("rep", "sig").mapInArrow(_bands, "key long, rep long")
     buckets = staging.put(bands.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub"), "buckets")
@@ -267,10 +268,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     component = staging.put(component, "component")
     result = sketch.select("doc_id", "n_shingles", "fp").join(component, "fp", "left")
     result = staging.put(
-        result.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")), "result"
+        result.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id")), "result"
     )
     staging.drop(*[n for n in staging.made if n != "result"])
-    return result.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_documents(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -13,6 +13,7 @@ from . import (
     chat_format,
     html_extract,
     near_dedup,
+    oracles,
     packing,
     quality_classifier,
     quality_rules,
@@ -99,4 +100,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries train, tokenise, parse or sort suffixes; they are tested against brute force."""
+    return {
+        "op2_exact_top_k": oracles.TOP_K,
+        "op4_chat_format": oracles.CHAT,
+        "op9_quality_rules": oracles.RULES,
+        "op10_minhash_near_dedup": oracles.NEAR,
+    }
