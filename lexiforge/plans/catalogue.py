@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import document_queries, link_queries, tag_queries, text_queries
 
-def queries():
-    return {}
+_PARTS = (document_queries, link_queries, text_queries, tag_queries)
 
 
-def oracle_sql():
-    return {}
+def queries() -> dict:
+    return {name: f for part in _PARTS for name, f in part.R.queries.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for part in _PARTS for name, sql in part.R.sql.items()}
