@@ -8,6 +8,8 @@ unpickle. Failures give a null answer and never fail the job.
 from __future__ import annotations
 
 import json
+import os
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -56,6 +58,18 @@ class RuleBackend:
         return self.rule(prompt)
 
 
+def once(df: DataFrame) -> DataFrame:
+    """``df`` computed and kept in the cluster's checkpoint folder, so that no model is asked twice.
+
+    The folder is the session's; one of our own serves only where none is set.
+    """
+    spark = df.sparkSession
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        own = "file://" + os.path.join(tempfile.gettempdir(), "lexiforge-shared")
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own)
+    return df.checkpoint()
+
+
 def ask(prompts: DataFrame, backend: Callable[[], object], system: str = "", user: str = "batch", column: str = "prompt", keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """``keys`` and ``answer`` for each prompt. Spread the rows first if the model serves many at a time."""
     temperature, tokens = OPTIONS[user]
@@ -69,4 +83,4 @@ def ask(prompts: DataFrame, backend: Callable[[], object], system: str = "", use
 
     rows = prompts.select(*keys, F.col(column).alias("__prompt"))
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kind}, answer string")
+    return once(rows.mapInArrow(run, f"{kind}, answer string"))

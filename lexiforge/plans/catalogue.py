@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import document_queries, link_queries, tag_queries, text_queries
+from . import document_queries, link_queries, model_queries, tag_queries, text_queries
 
-_PARTS = (document_queries, link_queries, text_queries, tag_queries)
+_PARTS = (document_queries, link_queries, text_queries, tag_queries, model_queries)
 
 
 def queries() -> dict:
