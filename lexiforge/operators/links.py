@@ -121,3 +121,10 @@ def usable_linked(results: DataFrame, least_tokens: int = 50) -> DataFrame:
     """Linked content worth reading: fetched and read, and web pages of some length."""
     ok = (F.col("status") == "success") & F.col("text").isNotNull()
     return results.where(ok & ((F.col("kind") == "pdf") | (F.col("token_count") >= least_tokens)))
+
+
+def linked_documents(results: DataFrame) -> DataFrame:
+    """Linked documents with text as sources of chunks, numbered anew: resource_id, doc_id, title, url, clean_text."""
+    good = results.where((F.col("kind") == "pdf") & (F.col("status") == "success") & (F.trim(F.coalesce("clean_text", F.lit(""))) != ""))
+    order = Window.partitionBy("resource_id").orderBy("pos")
+    return good.select("resource_id", F.concat(F.lit("pdf_"), F.row_number().over(order).cast("string")).alias("doc_id"), "title", "url", "clean_text")
