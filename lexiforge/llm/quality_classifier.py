@@ -65,44 +65,87 @@ PREFIXES = (3, 4, 5, 6, 7, 8, 9, 10)
 FALSE_ALARM = 0.002
 
 
-def stats(text: str, words: list[str], counts: Counter) -> list[float]:
+#: Distinct words that a task remembers before it starts afresh.
+MEMO = 400_000
+#: What a word can be; a word's kinds are one small number.
+ODD, UPPER, LOUD, BARE, INSULT, LEARNT, WANTED = (1 << i for i in range(7))
+
+
+class Words:
+    """Kinds of words, each found out once, and the shares of a text by kind."""
+
+    def __init__(self, learnt: frozenset[str] = frozenset()):
+        self.learnt = learnt
+        self.memo: dict[str, int] = {}
+
+    def kinds(self, word: str) -> int:
+        bare = word.strip(EDGE).lower()
+        return (
+            (ODD if not word[-1].isalnum() and word[-1] not in ".,;:!?)]}»”’\"'…" else 0)
+            | (UPPER if word.isupper() else 0)
+            | (LOUD if word.endswith("!!") else 0)
+            | (0 if bare else BARE)
+            | (INSULT if bare in INSULTS else 0)
+            | (LEARNT if self.learnt and any(bare[:k] in self.learnt for k in PREFIXES) else 0)
+        )
+
+    def tally(self, counts: Counter) -> tuple[dict[int, int], list[str]]:
+        """Words by kinds, and the words that are wanted."""
+        get, by, wanted = self.memo.get, {}, []
+        for w, c in counts.items():
+            k = get(w)
+            if k is None:
+                if len(self.memo) >= MEMO:
+                    self.memo.clear()
+                k = self.memo[w] = self.kinds(w)
+            by[k] = by.get(k, 0) + c
+            if k & WANTED:
+                wanted.append(w)
+        return by, wanted
+
+
+def stats(text: str, words: list[str], counts: Counter, by: dict[int, int]) -> list[float]:
     """The shares that the labellers look at, in the order of STATS; -1 where the text is too short."""
     n = len(words)
-    each = lambda test: sum(c for w, c in counts.items() if test(w)) / n
+    share = lambda kind: sum(c for k, c in by.items() if k & kind) / n
     few = n < FEW
     return [
         sum(map(text.count, SYMBOLS)) / len(text),
-        each(lambda w: not w[-1].isalnum() and w[-1] not in ".,;:!?)]}»”’\"'…"),
-        -1 if few else each(str.isupper),
+        share(ODD),
+        -1 if few else share(UPPER),
         -1 if few else sum(map(eq, words, words[1:])) / n,
-        -1 if few else each(lambda w: w.endswith("!!")),
-        -1 if few else each(lambda w: not w.strip(EDGE)),
+        -1 if few else share(LOUD),
+        -1 if few else share(BARE),
         # distinct words against the square root of all: long texts repeat more words
         -1 if n < SOME else len(counts) / n**0.5,
     ]
 
 
-def votes(text: str | None, learnt: frozenset[str] = frozenset()) -> list[int]:
+class Labellers(Words):
     """Votes of all labellers: 1 fit, -1 unfit, 0 no opinion."""
-    words = (text or "").split()
-    if not words:
-        return [0] * (len(STATS) + len(TONE))
-    counts = Counter(words)
-    out = []
-    for name, x in zip(STATS, stats(text, words, counts), strict=True):
-        good, bad = LIMITS[name]
-        if x < 0:
-            out.append(0)
-        elif good < bad:
-            out.append(1 if x <= good else -1 if x >= bad else 0)
-        else:
-            out.append(1 if x >= good else -1 if x <= bad else 0)
-    bare = Counter()
-    for w, c in counts.items():
-        bare[w.strip(EDGE).lower()] += c
-    hits = sum(c for w, c in bare.items() if w in INSULTS)
-    marked = sum(c for w, c in bare.items() if any(w[:k] in learnt for k in PREFIXES)) if learnt else 0
-    return [*out, -1 if hits else 1, -1 if hits > 1 else 1, -1 if marked else 1 if learnt else 0, -1 if marked > 1 else 1 if learnt else 0]
+
+    def __call__(self, text: str | None) -> list[int]:
+        words = (text or "").split()
+        if not words:
+            return [0] * (len(STATS) + len(TONE))
+        counts = Counter(words)
+        by, _ = self.tally(counts)
+        out = []
+        for name, x in zip(STATS, stats(text, words, counts, by), strict=True):
+            good, bad = LIMITS[name]
+            if x < 0:
+                out.append(0)
+            elif good < bad:
+                out.append(1 if x <= good else -1 if x >= bad else 0)
+            else:
+                out.append(1 if x >= good else -1 if x <= bad else 0)
+        hits, marked = (sum(c for k, c in by.items() if k & kind) for kind in (INSULT, LEARNT))
+        some = 1 if self.learnt else 0
+        return [*out, -1 if hits else 1, -1 if hits > 1 else 1, -1 if marked else some, -1 if marked > 1 else some]
+
+
+def votes(text: str | None, learnt: frozenset[str] = frozenset()) -> list[int]:
+    return Labellers(learnt)(text)
 
 
 def _beginnings(text: str | None) -> set[str]:
@@ -160,58 +203,58 @@ def fit_label_model(patterns: np.ndarray, weight: np.ndarray, rounds: int = 60)
 # -- the hashed linear scorer ----------------------------------------------------
 
 
-def _hashed(kind: str, value: str) -> int:
-    half = 1 << (BITS - 1)
-    at = zlib.crc32(f"{kind}:{value}".encode("utf-8", "replace")) >> (33 - BITS)
-    return at if kind in ("w", "p") else half + at
+def _step(kind: str, value: str) -> int:
+    """Id of a step of a share, in the upper half."""
+    return (1 << (BITS - 1)) + (zlib.crc32(f"{kind}:{value}".encode()) >> (33 - BITS))
 
 
-class Features:
+class Features(Words):
     """Hashed features: words and word beginnings for the tone, steps of the shares for the quality.
 
-    The lower half of the ids belongs to words, the upper to shares.
+    The lower half of the ids belongs to words, the upper to shares. With
+    ``wanted`` only those ids are given, which few words have.
     """
 
     def __init__(self, wanted: frozenset[int] | None = None):
+        super().__init__()
         self.wanted = wanted
-        self.memo: dict[str, tuple[int, ...]] = {}
 
-    def _of(self, word: str) -> tuple[int, ...]:
-        bare = word.strip(EDGE).lower()
-        got = {_hashed("w", bare)} | {_hashed("p", bare[:k]) for k in PREFIXES if len(bare) >= k}
-        out = tuple(got if self.wanted is None else got & self.wanted)
-        if len(self.memo) > 1_000_000:
-            self.memo.clear()
-        self.memo[word] = out
-        return out
+    def of(self, word: str) -> set[int]:
+        raw = word.strip(EDGE).lower().encode("utf-8", "replace")
+        # one running checksum gives the beginnings of 3 to 12 bytes, and with an end mark the word
+        crc = zlib.crc32(raw[:3])
+        ids = [crc] if len(raw) >= 3 else []
+        for i in range(3, min(len(raw), 12)):
+            crc = zlib.crc32(raw[i : i + 1], crc)
+            ids.append(crc)
+        ids.append(zlib.crc32(raw[12:] + b"$", crc))
+        half = {i >> (33 - BITS) for i in ids}
+        return half if self.wanted is None else half & self.wanted
+
+    def kinds(self, word: str) -> int:
+        return super().kinds(word) | (WANTED if self.wanted is None or self.of(word) else 0)
 
     def __call__(self, text: str | None) -> list[int]:
         words = (text or "").split()
         if not words:
             return []
         counts = Counter(words)
-        get, of = self.memo.get, self._of
-        out = set()
-        for w in counts:
-            ids = get(w)
-            if ids is None:
-                ids = of(w)
-            if ids:
-                out.update(ids)
-        for name, x in zip(STATS, stats(text, words, counts), strict=True):
+        by, wanted = self.tally(counts)
+        out = {i for w in wanted for i in self.of(w)}
+        for name, x in zip(STATS, stats(text, words, counts, by), strict=True):
             good, bad = LIMITS[name]
             step = "none" if x < 0 else min(5, max(-1, int(4 * (x - good) / (bad - good))))
-            out.add(_hashed(name, str(step)))
+            out.add(_step(name, str(step)))
         return list(out)
 
 
-def train(rows: list[list[int]], target: np.ndarray, family: slice, rounds: int = 300, screen: float = 5.0, most: int = 4096) -> np.ndarray:
+def train(rows: list[np.ndarray], target: np.ndarray, family: slice, rounds: int = 300, screen: float = 5.0, most: int = 4096) -> np.ndarray:
     """Logistic regression on the features that tell the classes apart; the last weight is the intercept."""
     out = np.zeros((1 << BITS) + 1)
     if not rows:
         return out
-    who = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    ids = np.array([i for r in rows for i in r], np.int64)
+    who = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    ids = np.concatenate(rows)
     n1, n0 = target.sum() + 1e-9, (1 - target).sum() + 1e-9
     size = 1 << BITS
     p1 = np.bincount(ids, target[who], size) / n1
@@ -243,8 +286,9 @@ def train(rows: list[list[int]], target: np.ndarray, family: slice, rounds: int
 
 def _votes(learnt: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label = Labellers(learnt)
         for batch in batches:
-            pattern = ["".join("-0+"[v + 1] for v in votes(t, learnt)) for t in batch.column(0).to_pylist()]
+            pattern = ["".join("-0+"[v + 1] for v in label(t)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(pattern, pa.string())], names=["pattern"])
 
     return run
@@ -259,11 +303,11 @@ def _fit(posterior: dict[str, tuple[float, float]], learnt: frozenset[str]):
     """All sampled texts, in one task (their number is bounded) -> the weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, rows = Features(), []
+        features, label, rows = Features(), Labellers(learnt), []
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                pattern = "".join("-0+"[v + 1] for v in votes(text, learnt))
-                rows.append((doc_id or 0, features(text), posterior.get(pattern, (0.0, 0.0))))
+                pattern = "".join("-0+"[v + 1] for v in label(text))
+                rows.append((doc_id or 0, np.array(features(text), np.int32), posterior.get(pattern, (0.0, 0.0))))
         rows.sort(key=lambda r: r[0])
         half = 1 << (BITS - 1)
         family = (slice(half, 2 * half), slice(0, half))
@@ -304,7 +348,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame | None = None, sample: int
     learnt: frozenset[str] = frozenset()
     if labels is not None:
         some = _first(labels.where("toxic is not null").select("doc_id", "toxic"), LABELLED, labels.count(), 5)
-        found = texts.join(some, "doc_id").select("text", "toxic").coalesce(1).mapInArrow(_cover, "learnt array<string>").collect()
+        found = texts.join(some, "doc_id").select("text", "toxic").repartition(1).mapInArrow(_cover, "learnt array<string>").collect()
         learnt = frozenset(x for r in found for x in r["learnt"])
     counted = texts.select("text").mapInArrow(_votes(learnt), "pattern string").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()
     total = sum(r["n"] for r in counted)
@@ -315,7 +359,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame | None = None, sample: int
     unfit, _ = fit_label_model(patterns[:, :split], weight)
     hostile, _ = fit_label_model(patterns[:, split:], weight)
     posterior = {r["pattern"]: (float(a), float(b)) for r, a, b in zip(counted, unfit, hostile, strict=True)}
-    fitted = _first(texts, sample, total, 7).coalesce(1).mapInArrow(_fit(posterior, learnt), "weights binary").collect()
+    fitted = _first(texts, sample, total, 7).repartition(1).mapInArrow(_fit(posterior, learnt), "weights binary").collect()
     weights = fitted[0]["weights"] if fitted else np.zeros((2, (1 << BITS) + 1)).tobytes()
     held = spark.sparkContext.broadcast(weights)  # 4 MB, fixed by BITS
     scored = texts.mapInArrow(_score(held), "doc_id long, unfit double, hostile double")
