@@ -94,6 +94,7 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+# Fixed format: the fields of a tagged resource's file.
 TAGGED = (
     "resource_id string, title string, url string, source string, chunk_count int, "
     "tags map<string,array<struct<tag:string,confidence:string,chunk_count:int,chunk_indices:array<int>,evidence:array<string>,rescued:boolean>>>, "
