@@ -9,10 +9,14 @@ from ..functions import text as T
 from ..functions import urls as U
 
 
-def profile(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with word, character and token counts and the route."""
+def profile(docs: DataFrame, text: str = "text", counter=None) -> DataFrame:
+    """``docs`` with word, character and token counts and the route.
+
+    ``counter``: a function of a column that counts tokens exactly, as
+    ``functions.tokens.exact`` makes one; without it words times 1.35 are taken.
+    """
     counted = docs.withColumns({"word_count": T.word_count(F.col(text)), "char_count": F.length(text)})
-    tokens = F.floor(F.col("word_count") * T.TOKENS_PER_100_WORDS / 100).cast("int")
+    tokens = counter(F.col(text)) if counter else F.floor(F.col("word_count") * T.TOKENS_PER_100_WORDS / 100).cast("int")
     return counted.withColumn("token_count", tokens).withColumn("route", T.route(F.col("token_count")))
 
 

@@ -154,3 +154,40 @@ def with_resolved(catalogue: DataFrame, meta: DataFrame) -> DataFrame:
     """Title, author and description: the catalogue's where it has them, else the file's."""
     joined = catalogue.join(meta.withColumnRenamed("doc_id", "resource_id"), "resource_id", "left")
     return joined.select("resource_id", T.resolved(F.col("title"), F.col("pdf_title")).alias("title"), T.resolved(F.col("author"), F.col("pdf_author")).alias("author"), T.resolved(F.col("description"), F.col("pdf_subject")).alias("description"))
+
+
+def flat_text(files: DataFrame) -> DataFrame:
+    """Text by page without layout, for files whose layout can't be read: doc_id, page, text.
+
+    ``flat_text.sections`` and ``tagged_lines`` take it from there.
+    """
+    try:
+        import pypdf
+    except ImportError as e:
+        raise RuntimeError("reading the plain text of PDF files needs the pypdf package on driver and executors") from e
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import io
+
+        schema = pa.schema([("doc_id", pa.string()), ("page", pa.int32()), ("text", pa.string())])
+        for batch in batches:
+            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    found = [p.extract_text() or "" for p in pypdf.PdfReader(io.BytesIO(raw)).pages[: L.PAGE_CAP]]
+                except Exception:  # noqa: BLE001  a damaged file gives no pages
+                    found = []
+                yield pa.RecordBatch.from_pylist([{"doc_id": name, "page": i, "text": t} for i, t in enumerate(found, 1)], schema=schema)
+
+    return files.select("resource_id", "content").mapInArrow(run, "doc_id string, page int, text string")
+
+
+def status(wanted: DataFrame, files: DataFrame, texts: DataFrame) -> DataFrame:
+    """``wanted`` with clean_status: no file, a file without text, or success.
+
+    ``files``: resource_id; ``texts``: doc_id, clean_text.
+    """
+    have = files.select("resource_id", F.lit(True).alias("__file")).distinct()
+    read = texts.where(F.trim(F.coalesce("clean_text", F.lit(""))) != "").select(F.col("doc_id").cast("string").alias("resource_id"), F.lit(True).alias("__text")).distinct()
+    out = wanted.join(have, "resource_id", "left").join(read, "resource_id", "left")
+    state = F.when(F.col("__file").isNull(), "download-failed").when(F.col("__text").isNull(), "extraction-failed").otherwise("success")
+    return out.withColumn("clean_status", state).drop("__file", "__text")

@@ -219,3 +219,30 @@ def test_assembly(spark):
     got = [r[0] for r in df.select(C.assemble(F.col("p"), F.col("w"), F.col("f"))).collect()]
     assert got[0] == "=== PARENT CONTENT ===\n\nmine\n\n\n=== LINKED WEB PAGES ===\n\n\n--- Linked page 1: A ---\n\na\n\n\n--- Linked page 2: B ---\n\nb\n\n\n=== LINKED PDFs ===\n\n\n--- Linked PDF 1: C ---\n\nc"
     assert got[1] == ""
+
+
+def test_exact_tokens(spark):
+    from lexiforge.functions import tokens
+    from lexiforge.operators import documents as D
+
+    count = tokens.exact(lambda: lambda texts: [len(t) for t in texts])
+    df = spark.createDataFrame([(1, "abc"), (2, None), (3, "")], "doc_id int, text string")
+    assert [r.token_count for r in D.profile(df, counter=count).orderBy("doc_id").collect()] == [3, 0, 0]
+
+
+def test_linked_documents(spark):
+    from lexiforge.operators import links
+
+    rows = [(1, 0, "pdf", "success", "A", "u", "x"), (1, 1, "external", "success", "B", "u", "x"), (1, 2, "pdf", "success", "C", "u", " "), (1, 3, "pdf", "success", "D", "u", "y"), (1, 4, "pdf", "timeout", "E", "u", None)]
+    df = spark.createDataFrame(rows, "resource_id int, pos int, kind string, status string, title string, url string, clean_text string")
+    assert [(r.doc_id, r.title) for r in links.linked_documents(df).orderBy("doc_id").collect()] == [("pdf_1", "A"), ("pdf_2", "D")]
+
+
+def test_logger(tmp_path, capsys):
+    from lexiforge.log import logger
+
+    log = logger("lexiforge.test", str(tmp_path / "a.log"))
+    log.debug("low")
+    log.info("high")
+    assert logger("lexiforge.test") is log and len(log.handlers) == 2
+    assert "low" in (tmp_path / "a.log").read_text() and "low" not in capsys.readouterr().err
