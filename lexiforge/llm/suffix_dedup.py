@@ -41,6 +41,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .shingles import _powers, mix
 from .staging import Staging
@@ -50,7 +51,7 @@ REACH = SPAN - GRAM
 #: Bytes whose anchors are found together.
 BLOCK_BYTES = 1 << 18
 #: Records of one anchor that one task sorts.
-GROUP = 200_000
+GROUP = 50_000
 #: Records after which the groups gathered so far are sorted.
 SORTED = 20_000
 #: Depth in bytes to which suffixes are ordered by words before blind tries take over.
@@ -318,6 +319,19 @@ def repeated_spans(group: np.ndarray, left: np.ndarray, n_left: np.ndarray, righ
 SPANS = "doc_id long, lo int, hi int"
 
 
+def overlay(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of the same documents united where they overlap or touch."""
+    if not len(doc):
+        return doc, lo, hi
+    order = np.lexsort((lo, doc))
+    doc, lo, hi = doc[order], lo[order], hi[order]
+    run = np.cumsum(np.concatenate([[0], doc[1:] != doc[:-1]]))
+    reach = np.maximum.accumulate(hi + (run << 32)) - (run << 32)
+    first = np.concatenate([[True], (doc[1:] != doc[:-1]) | (lo[1:] > reach[:-1])])
+    last = np.concatenate([first[1:], [True]])
+    return doc[first], lo[first], reach[last]
+
+
 def _matrix(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(p) for p in parts], np.int64)
     return np.frombuffer(b"".join([p.ljust(width, b"\0") for p in parts]), np.uint8).reshape(len(parts), width), size
@@ -335,7 +349,8 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         who = np.concatenate([np.zeros(0, np.int64), *(f[0] for f in found)])
         lo = pos[who] + np.concatenate([np.zeros(0, np.int64), *(f[1] for f in found)])
         hi = pos[who] + np.concatenate([np.zeros(0, np.int64), *(f[2] for f in found)])
-        return pa.RecordBatch.from_arrays([pa.array(doc[who], pa.int64()), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["doc_id", "lo", "hi"])
+        doc, lo, hi = overlay(doc[who], lo, hi)
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["doc_id", "lo", "hi"])
 
     held: list[pa.RecordBatch] = []
     rows, last = 0, None
@@ -460,8 +475,9 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """The rows of ``docs`` with repeated strings cut from their texts, and n_chars, if there, set anew."""
     spans = repeated_strings(docs, Staging(docs.sparkSession, "suffix-dedup"), group)
     rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
-    kind = rows.schema["rest"].dataType.simpleString()
-    packed = rows.mapInArrow(_packed, f"doc_id long, packed binary, rest {kind}")
-    cut_rows = packed.join(spans, "doc_id", "left").select("doc_id", "packed", "spans", "rest").mapInArrow(_texts, f"text string, rest {kind}")
+    rest = rows.schema["rest"]
+    packed = rows.mapInArrow(_packed, StructType([rows.schema["doc_id"], StructField("packed", BinaryType()), rest]))
+    joined = packed.join(spans, "doc_id", "left").select("doc_id", "packed", "spans", "rest")
+    cut_rows = joined.mapInArrow(_texts, StructType([StructField("text", StringType()), rest]))
     out = cut_rows.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
