@@ -28,6 +28,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -75,12 +76,29 @@ MARKS = frozenset(
     "widget widgets".split()
 )
 
+#: Longer forms of the same words, written together.
+_MARK = re.compile(
+    r"(?:ad(?:box|slot|unit|container|wrap|wrapper|banner|space|block|sense)|advert\w*|\w*nav(?:bar|igation|links)?|\w*menu|\w*footer|\w*sidebar|\w*banner|"
+    r"\w*comments?|cookie\w*|newsletter\w*|sponsor\w*|promo\w*|\w*popup|\w*modal|social\w*|share\w*|related\w*|recommend\w*|subscri\w*)"
+)
+#: The marks that hold for an <article> too: reader comments, adverts and teasers come as articles.
+ARTICLE_MARKS = frozenset("ad ads advert advertisement comment comments promo promoted related reply replies sponsored teaser widget".split())
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
 _ATTR = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PART = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
 
+@lru_cache(maxsize=20_000)
+def marked(names: str, article: bool) -> bool:
+    """Whether a class, id or role says that an element is no main text."""
+    parts = [p.lower() for w in names.split() for p in _PART.split(w) if p]
+    if article:
+        return any(p in ARTICLE_MARKS for p in parts)
+    return any(p in MARKS or _MARK.fullmatch(p) for p in parts)
+
+
 class Node:
     __slots__ = ("tag", "sign", "kids", "out")
 
@@ -97,8 +115,8 @@ def _element(tag: str, attributes: str) -> Node:
             sign = re.sub(r"[\s()]", "_", f"{tag}.{'.'.join(sorted(found['class'].split()))}") if found.get("class") else tag
             if "role" in found and found["role"].lower() == "main":
                 tag = "main"
-            if any(p.lower() in MARKS for w in marks.split() for p in _PART.split(w)):
-                out = out or tag not in ("html", "body", "main", "article")
+            if tag not in ("html", "body", "main") and marked(marks, tag == "article"):
+                out = True
             if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
                 out = True
     return Node(tag, sign, out)
@@ -170,17 +188,38 @@ def _main(root: Node) -> list[Node]:
     return found["article"] or found["main"][:1] or found["body"] or [root]
 
 
-def _holds_main(node: Node) -> bool:
-    return any(isinstance(k, Node) and (k.tag in ("article", "main") or _holds_main(k)) for k in node.kids)
+def _clear(root: Node) -> None:
+    """Takes back the mark of wrappers around the main part, such as class="with-sidebar".
 
+    A wrapper holds the <main>, or every article of the page; a box of related
+    articles beside the main one doesn't.
+    """
 
-def _clear(node: Node) -> None:
-    """Takes back the mark of wrappers that hold the main part, such as class="with-sidebar"."""
-    for kid in node.kids:
-        if isinstance(kid, Node):
-            if kid.out and kid.tag not in NEVER and _holds_main(kid):
-                kid.out = False
-            _clear(kid)
+    def count(node: Node) -> tuple[int, int]:
+        mains = articles = 0
+        for kid in node.kids:
+            if isinstance(kid, Node):
+                m, a = count(kid)
+                mains += m + (kid.tag == "main")
+                articles += a + (kid.tag == "article" and not kid.out)
+        held[id(node)] = (mains, articles)
+        return mains, articles
+
+    held: dict[int, tuple[int, int]] = {}
+    mains, articles = count(root)
+    if not mains and not articles:
+        return
+
+    def walk(node: Node) -> None:
+        for kid in node.kids:
+            if isinstance(kid, Node):
+                m, a = held[id(kid)]
+                if kid.out and kid.tag not in NEVER and kid.tag != "article" and (m or (a and a == articles)):
+                    kid.out = False
+                if m or a:
+                    walk(kid)
+
+    walk(root)
 
 
 class Skeleton:

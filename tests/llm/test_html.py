@@ -27,6 +27,16 @@ def test_odd_input():
     assert text("<nav>menu<article>odd</article></nav><article>one</article>mid<article>two</article>") == "one\ntwo"
 
 
+def test_what_is_no_main_text():
+    page = """<body class="home with-sidebar"><div class="topnav"><a href=x>Home</a></div><div id="page" class="sidebar-left"><div class="adBox">buy</div>
+    <article class="post sidebar-on"><h1>T</h1><p>One.</p><aside>see also</aside><div class="adslot-2">ad</div><form><p>mail</p></form><p class="notice">note</p>
+    <p>Two.</p><section class="post-comments"><article class="comment"><p>rude</p></article></section></article>
+    <section class="related-posts"><article><p>teaser</p></article></section><div class="cookieBar">ok?</div></div><div class="site-footer">f</div></body>"""
+    assert text(page) == "T\nOne.\nTwo."
+    assert text("<main><article class='comment'>c</article><p>body</p></main>") == "body"
+    assert text("<div class='content-with-sidebar'><article>a</article></div>") == "a"
+
+
 def test_tree_matching():
     a, b = H.read_tree("#(article(h1 p h2 ul(li)))"), H.read_tree("#(article(h1 div(p) p ul(li)))")
     assert H.read_tree(H.Skeleton().text()) == ("#", [])
