@@ -99,12 +99,12 @@ def overall(cell: DataFrame) -> DataFrame:
 
 def by_tag(flags: DataFrame, ids: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Counts per tag that occurs on either side; most wrong ones first in ``wrong``."""
-    total = ids.agg(F.count(F.lit(1)).alias("n"))
+    total = ids.agg(F.count(F.lit(1))).scalar()
     counted = flags.where("known").groupBy("dim", "tag").agg(
         F.count_if(F.col("predicted") & F.col("actual")).alias("tp"),
         F.count_if(F.col("predicted") & ~F.col("actual")).alias("fp"),
         F.count_if(~F.col("predicted") & F.col("actual")).alias("fn"),
     )
     positions = taxonomy.select("dim", F.col("tag_lower").alias("tag"), "pos")
-    out = counted.join(positions, ["dim", "tag"]).crossJoin(F.broadcast(total))  # one row
-    return out.withColumn("tn", F.col("n") - F.col("tp") - F.col("fp") - F.col("fn")).withColumn("wrong", F.col("fp") + F.col("fn")).drop("n")
+    out = counted.join(positions, ["dim", "tag"])
+    return out.withColumn("tn", total - F.col("tp") - F.col("fp") - F.col("fn")).withColumn("wrong", F.col("fp") + F.col("fn"))
