@@ -253,22 +253,23 @@ def train(rows: list[np.ndarray], target: np.ndarray, family: slice, rounds: int
     out = np.zeros((1 << BITS) + 1)
     if not rows:
         return out
-    who = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    ids = np.concatenate(rows)
     n1, n0 = target.sum() + 1e-9, (1 - target).sum() + 1e-9
     size = 1 << BITS
-    p1 = np.bincount(ids, target[who], size) / n1
-    p0 = np.bincount(ids, 1 - target[who], size) / n0
+    p1, p0 = np.zeros(size), np.zeros(size)
+    for own, y in zip(rows, target.tolist(), strict=True):  # a row's ids are distinct
+        p1[own] += y / n1
+        p0[own] += (1 - y) / n0
     p = (p1 * n1 + p0 * n0) / (n1 + n0)
     z = np.abs(p1 - p0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0) + 1e-12)
     z[p * (n1 + n0) < 4] = 0
     z[: family.start], z[family.stop :] = 0, 0
     keep = np.argsort(-z, kind="stable")[:most]
     keep = keep[z[keep] >= screen]
-    slot = np.full(size, -1)
+    slot = np.full(size, -1, np.int32)
     slot[keep] = np.arange(len(keep))
-    use = slot[ids] >= 0
-    who, ids = who[use], slot[ids[use]]
+    kept = [k[k >= 0] for k in (slot[own] for own in rows)]
+    who = np.repeat(np.arange(len(rows), dtype=np.int32), [len(k) for k in kept])
+    ids = np.concatenate(kept)
     w, b = np.zeros(len(keep)), float(np.log(n1 / n0))
     seen, seen_b = np.full(len(keep), 1e-8), 1e-8
     for _ in range(rounds):
