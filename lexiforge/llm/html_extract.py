@@ -6,10 +6,10 @@
 2. For each host the distinct skeletons (few, however many pages a host has)
    are aligned by simple tree matching and folded into wrappers; aligned nodes
    share a slot of the wrapper.
-3. A slot whose text is the same on every page of the host is template, if the
-   host has at least DISTINCT pages that differ in their main part; the others
-   vary and are content. A host whose pages are too few, or are copies of one
-   page, shows nothing, and all its slots count as content.
+3. A slot whose text is the same on every page of the wrapper that has it is
+   template, if at least DISTINCT such pages differ in their main part; the
+   others vary and are content. A wrapper whose pages are too few, or are copies
+   of one page, shows nothing, and all its slots count as content.
 4. A page's text is what stands in content slots of its main part, without the
    elements that are never main text (menus, adverts, forms and the like, by
    tag, role, class and id).
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .staging import Staging
 
-#: Pages with different main parts from which a host's constant slots are believed.
+#: Pages with different main parts from which a wrapper's constant slots are believed.
 DISTINCT = 5
 #: Share of nodes that must match for a skeleton to follow a wrapper.
 ALIKE = 0.5
@@ -443,17 +443,16 @@ def induce_templates(pages: DataFrame, staging: Staging) -> DataFrame:
     shapes = staging.put(pages.select("host", "html").mapInArrow(_shapes, SHAPES), "shapes")
     kinds = shapes.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n"))
     aligned = staging.put(kinds.groupBy("host").applyInArrow(_induce, "host string, skeleton string, node int, slot string"), "aligned")
-    # pages that differ; copies of a page show nothing about what is constant
-    differ = shapes.groupBy("host", "main").agg(F.first(F.struct("skeleton", "slots")).alias("page"))
+    # pages of a wrapper that differ; copies of a page show nothing about what is constant
+    wrapper = aligned.where("node = 0").select("host", "skeleton", F.substring_index("slot", ".", 1).alias("wrapper"))
+    differ = shapes.join(wrapper, ["host", "skeleton"]).groupBy("host", "wrapper", "main").agg(F.min(F.struct("skeleton", "slots")).alias("page"))
     differ = staging.put(differ.select("host", "page.skeleton", "page.slots"), "differ")
-    counted = differ.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= DISTINCT)
     texts = differ.select("host", "skeleton", F.explode("slots").alias("s")).select("host", "skeleton", "s.node", "s.text")
     spread = (
         texts.join(aligned, ["host", "skeleton", "node"])
         .groupBy("host", "slot")
         .agg(F.min("text").alias("low"), F.max("text").alias("high"), F.count(F.lit(1)).alias("n"))
-        .join(counted, "host")
-        .where("low = high and n = pages")
+        .where((F.col("low") == F.col("high")) & (F.col("n") >= DISTINCT))
         .select("host", "slot")
     )
     template = aligned.join(spread, ["host", "slot"]).groupBy("host", "skeleton").agg(F.collect_list("node").alias("nodes"))

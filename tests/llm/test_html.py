@@ -64,6 +64,14 @@ def test_constant_slots_are_template(spark):
     assert got == {i: f"Text {i}\nmore {i}" for i in range(8)}
 
 
+def test_mixed_layouts_are_counted_by_wrapper(spark):
+    listing = "<html><body><table class=t><tr><td class=k>All items</td><td class=v>item {0}</td></tr></table></body></html>"
+    bare = (30, "https://h.example/30", pages(31)[30][2].replace("<div class=box><p>Join our club</p></div>", ""))
+    rows = [*pages(8), bare, *((i, f"https://h.example/l{i}", listing.format(i)) for i in range(20, 26)), (40, "https://h.example/", "<ul><li>Home</li></ul>")]
+    want = {i: f"Text {i}\nmore {i}" for i in (*range(8), 30)} | {i: f"item {i}" for i in range(20, 26)} | {40: "Home"}
+    assert run(spark, rows) == want
+
+
 def test_too_few_pages_or_copies_show_nothing(spark):
     assert run(spark, pages(3))[1] == "News desk\nText 1\nJoin our club\nmore 1"
     copies = [(i, "http://c.example/", pages(1)[0][2]) for i in range(9)]
