@@ -6,9 +6,10 @@
 2. For each host the distinct skeletons (few, however many pages a host has)
    are aligned by simple tree matching and folded into wrappers; aligned nodes
    share a slot of the wrapper.
-3. A slot whose text is the same on every page of the wrapper that has it is
-   template, if at least DISTINCT such pages differ in their main part; the
-   others vary and are content. A wrapper whose pages are too few, or are copies
+3. As a slot holds the texts of merged siblings, each text counts by itself: one
+   that every page of the wrapper with this slot has there is template, if at
+   least DISTINCT such pages differ in their main part; the others vary and are
+   content. A wrapper whose pages are too few, or are copies
    of one page, shows nothing, and all its slots count as content.
 4. A page's text is what stands in content slots of its main part, without the
    elements that are never main text (menus, adverts, forms and the like, by
@@ -400,7 +401,7 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - 2**63
 
 
-SHAPES = "host string, skeleton string, main long, slots array<struct<node:int,text:long>>"
+SHAPES = "host string, skeleton string, main long, slots array<struct<node:int,texts:array<long>>>"
 
 
 def _shape(source: str | None) -> tuple[str, list[tuple[int, str]]]:
@@ -417,11 +418,11 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, found = _shape(source)
             if not found:
                 continue
-            slots: dict[int, list[str]] = {}
+            slots: dict[int, set[int]] = {}
             for node, t in found:
-                slots.setdefault(node, []).append(t)
-            rows.append({"host": host, "skeleton": text, "main": _hash("\n".join(t for _, t in found)), "slots": [{"node": n, "text": _hash("\n".join(t))} for n, t in slots.items()]})
-        schema = pa.schema([("host", pa.string()), ("skeleton", pa.string()), ("main", pa.int64()), ("slots", pa.list_(pa.struct([("node", pa.int32()), ("text", pa.int64())])))])
+                slots.setdefault(node, set()).add(_hash(t))
+            rows.append({"host": host, "skeleton": text, "main": _hash("\n".join(t for _, t in found)), "slots": [{"node": n, "texts": sorted(t)} for n, t in slots.items()]})
+        schema = pa.schema([("host", pa.string()), ("skeleton", pa.string()), ("main", pa.int64()), ("slots", pa.list_(pa.struct([("node", pa.int32()), ("texts", pa.list_(pa.int64()))])))])
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
@@ -439,7 +440,7 @@ def _induce(group: pa.Table) -> pa.Table:
 
 
 def induce_templates(pages: DataFrame, staging: Staging) -> DataFrame:
-    """``host, skeleton, nodes``: the skeleton nodes that are template on their host."""
+    """``host, template``: by skeleton, the nodes and text hashes that are template on the host."""
     shapes = staging.put(pages.select("host", "html").mapInArrow(_shapes, SHAPES), "shapes")
     kinds = shapes.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n"))
     aligned = staging.put(kinds.groupBy("host").applyInArrow(_induce, "host string, skeleton string, node int, slot string"), "aligned")
@@ -447,15 +448,19 @@ def induce_templates(pages: DataFrame, staging: Staging) -> DataFrame:
     wrapper = aligned.where("node = 0").select("host", "skeleton", F.substring_index("slot", ".", 1).alias("wrapper"))
     differ = shapes.join(wrapper, ["host", "skeleton"]).groupBy("host", "wrapper", "main").agg(F.min(F.struct("skeleton", "slots")).alias("page"))
     differ = staging.put(differ.select("host", "page.skeleton", "page.slots"), "differ")
-    texts = differ.select("host", "skeleton", F.explode("slots").alias("s")).select("host", "skeleton", "s.node", "s.text")
-    spread = (
-        texts.join(aligned, ["host", "skeleton", "node"])
-        .groupBy("host", "slot")
-        .agg(F.min("text").alias("low"), F.max("text").alias("high"), F.count(F.lit(1)).alias("n"))
-        .where((F.col("low") == F.col("high")) & (F.col("n") >= DISTINCT))
-        .select("host", "slot")
+    slots = differ.select("host", "skeleton", F.explode("slots").alias("s")).select("host", "skeleton", "s.node", "s.texts")
+    slots = slots.join(aligned, ["host", "skeleton", "node"]).select("host", "slot", "texts")
+    had = slots.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= DISTINCT)
+    constant = (
+        slots.select("host", "slot", F.explode("texts").alias("text"))
+        .groupBy("host", "slot", "text")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= DISTINCT)
+        .join(had, ["host", "slot"])
+        .where("n = pages")
+        .select("host", "slot", "text")
     )
-    template = aligned.join(spread, ["host", "slot"]).groupBy("host", "skeleton").agg(F.collect_list("node").alias("nodes"))
+    template = aligned.join(constant, ["host", "slot"]).groupBy("host", "skeleton").agg(F.collect_list(F.struct("node", "text")).alias("nodes"))
     template = staging.put(template.groupBy("host").agg(F.collect_list(F.struct("skeleton", "nodes")).alias("template")), "template")
     staging.drop("shapes", "aligned", "differ")
     return template
@@ -466,8 +471,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for source, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             shape, found = _shape(source)
-            drop = {n for t in template or [] if t["skeleton"] == shape for n in t["nodes"]}
-            out.append("\n".join(t for n, t in found if n not in drop))
+            drop: dict[int, set[int]] = {}
+            for t in template or []:
+                if t["skeleton"] == shape:
+                    for x in t["nodes"]:
+                        drop.setdefault(x["node"], set()).add(x["text"])
+            out.append("\n".join(t for n, t in found if n not in drop or _hash(t) not in drop[n]))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],

@@ -72,6 +72,12 @@ def test_mixed_layouts_are_counted_by_wrapper(spark):
     assert run(spark, rows) == want
 
 
+def test_constant_texts_among_varying_siblings(spark):
+    item = "<article><p>Read our rules</p><p>Text {0}</p><p>{1}</p><ul><li>point {0}</li><li>Print this</li></ul><p>Copyright</p></article>"
+    rows = [(i, f"https://s.example/{i}", item.format(i, "seldom" if i < 6 else f"other {i}")) for i in range(8)]
+    assert run(spark, rows) == {i: f"Text {i}\n{'seldom' if i < 6 else f'other {i}'}\npoint {i}" for i in range(8)}
+
+
 def test_too_few_pages_or_copies_show_nothing(spark):
     assert run(spark, pages(3))[1] == "News desk\nText 1\nJoin our club\nmore 1"
     copies = [(i, "http://c.example/", pages(1)[0][2]) for i in range(9)]
