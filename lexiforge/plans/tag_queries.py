@@ -82,6 +82,15 @@ def tag_validate(spark, sf_dir):
     return out.select("resource_id", "dim", joined("primary").alias("primary_tags"), joined("secondary").alias("secondary_tags"), joined("removed").alias("removed"))
 
 
+@R.add(R.sql["tag_validate"].replace(f"{_PROPOSED} WHERE pos % 3 = 0", _PROPOSED))
+def tag_validate_all(spark, sf_dir):
+    """All proposals; tag_validate and its SQL take every third."""
+    p = _proposed(spark, sf_dir).withColumn("tier", F.when(F.col("chunk_index") < 3, "primary").otherwise("secondary"))
+    out = G.validate_batch(p, X.taxonomy_frame(spark))
+    joined = lambda c: F.array_join(c, "|")
+    return out.select("resource_id", "dim", joined("primary").alias("primary_tags"), joined("secondary").alias("secondary_tags"), joined("removed").alias("removed"))
+
+
 def _valid(spark, sf_dir):
     out = G.canonicalise(_proposed(spark, sf_dir), X.taxonomy_frame(spark)).where("valid_tag is not null")
     return out.drop("tag").withColumnRenamed("valid_tag", "tag")
