@@ -152,6 +152,14 @@ def parent_lookup(spark, sf_dir):
     return D.parent_lookup(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("resource_id")), web, files)
 
 
+@R.add(R.sql["parent_lookup"].replace(" WHERE doc_id % 2 = 0", ""))
+def parent_lookup_all(spark, sf_dir):
+    """Labelled resources looked up in all documents; parent_lookup and its SQL hold the even ones."""
+    web = table(spark, sf_dir, "pages").select(F.col("page_id").alias("resource_id"), F.col("url").alias("title"), F.length("html").alias("token_count"))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("resource_id"), F.col("source").alias("title"), T.approx_tokens(F.col("text")).alias("token_count"))
+    return D.parent_lookup(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("resource_id")), web, files)
+
+
 @R.add(
     """SELECT page_id AS resource_id FROM pages UNION ALL
 SELECT doc_id FROM documents d WHERE doc_id % 3 = 0 AND NOT EXISTS (SELECT 1 FROM pages WHERE page_id = doc_id)"""
@@ -175,3 +183,10 @@ def latest_row(spark, sf_dir):
 def stage_input(spark, sf_dir):
     rows = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("resource_id"), F.when(F.col("toxic") == 1, "failed").otherwise("success").alias("status"))
     return D.stage_input(rows, "status", "success", [3, 5, 8, 13, 21, 34, 55, 89, 144])
+
+
+@R.add("SELECT doc_id AS resource_id, 'success' AS status FROM labels WHERE toxic = 0")
+def stage_input_all(spark, sf_dir):
+    """The stage's input without named resources; stage_input and its SQL name nine."""
+    rows = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("resource_id"), F.when(F.col("toxic") == 1, "failed").otherwise("success").alias("status"))
+    return D.stage_input(rows, "status", "success")

@@ -17,3 +17,12 @@ def test_all_proposals_are_validated(spark):
     want = {tuple(r) for r in tag_queries._proposed(spark, SMALL).select("resource_id", "dim").distinct().collect()}
     assert {(r.resource_id, r.dim) for r in run(spark, "tag_validate_all").collect()} == want
     assert len(want) > run(spark, "tag_validate").count()
+
+
+def test_lookup_and_stage_take_all_rows(spark):
+    found = run(spark, "parent_lookup_all").collect()
+    known = {r.doc_id for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id").collect()}
+    odd = [r for r in found if r.resource_id % 2 and r.resource_id in known]
+    assert odd and all(r.source is not None for r in odd)
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    assert run(spark, "stage_input_all").count() == labels.where(F.col("toxic") == 0).count() > 9
