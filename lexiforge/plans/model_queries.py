@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import chunking as C
+from ..operators import documents as D
 from ..operators import flows, layout, models, section_roles, web
 from ..sources.tables import table
 from .registry import Registry
@@ -48,14 +49,14 @@ def linked_page_clean(spark, sf_dir):
 
 
 def _chunks(spark, sf_dir):
-    few = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    return C.chunk_documents(few, 60)
+    # the flows read them several times
+    return models.once(C.chunk_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 @R.add()
 def batch_tagging(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("resource_id"), F.lit("t").alias("title"), F.lit("u").alias("url"), "text")
-    return flows.run_batch(items.withColumn("route", F.when(F.col("resource_id") % 2 == 0, "single_pass").otherwise("map_reduce")), backend)
+    routed = models.once(D.profile(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return flows.run_batch(routed.select(F.col("doc_id").alias("resource_id"), F.lit("t").alias("title"), F.lit("u").alias("url"), "text", "route"), backend)
 
 
 @R.add()
@@ -111,9 +112,48 @@ def layout_without_margins(spark, sf_dir):
     return layout.without_margins(_segments(spark, sf_dir)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Lines on a page of a document laid out; all of them stand between the margins.
+_LINES = 30
+
+
+def _document_segments(spark, sf_dir):
+    """Whole documents laid out line by line: every fifth line is a heading, each page has a running head."""
+    cut = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("cut"))
+    page, row = (F.floor(F.col("i") / _LINES) + 1).cast("int"), F.col("i") % _LINES
+    lines = cut.select("doc_id", F.posexplode("cut").alias("i", "text")).withColumns({"pos": F.col("i") + 1, "page": page, "y0": F.lit(100.0) + row * 19, "head": F.col("i") % 5 == 0})
+    lines = lines.withColumn("font_size", F.when(F.col("head"), 14.0).otherwise(10.0))
+    pages = cut.select("doc_id", F.explode(F.sequence(F.lit(1), F.ceil(F.size("cut") / _LINES).cast("int"))).alias("page")).withColumns(
+        {"pos": -F.col("page"), "text": F.concat(F.lit("A report "), F.col("page").cast("string")), "y0": F.lit(20.0), "head": F.lit(False), "font_size": F.lit(9.0)}
+    )
+    return lines.drop("i").unionByName(pages).select(
+        "doc_id", "pos", "text", "font_size", F.col("head").alias("bold"), F.lit(50.0).alias("x0"), "y0", F.lit(550.0).alias("x1"), (F.col("y0") + 12).alias("y1"),
+        F.col("page").alias("physical_page"), F.col("page").alias("logical_page"), F.lit(600.0).alias("logical_width"), F.lit(800.0).alias("logical_height"),
+    )
+
+
+_DOCUMENT_LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents"
+
+
+@R.add(
+    f"""WITH l AS (SELECT *, CASE WHEN i % 5 = 0 THEN 14.0 ELSE 10.0 END AS font_size FROM ({_DOCUMENT_LINES})),
+w AS (SELECT doc_id, font_size, row_number() OVER (PARTITION BY doc_id ORDER BY sum(least(length(text), 1200)) DESC, min(i)) AS r FROM l WHERE length(text) > 0 GROUP BY doc_id, font_size)
+SELECT doc_id, CAST(coalesce(font_size, 11.0) AS DOUBLE) AS body_size FROM (SELECT DISTINCT doc_id FROM l) LEFT JOIN (SELECT * FROM w WHERE r = 1) USING (doc_id)"""
+)
+def layout_body_size_all(spark, sf_dir):
+    """Whole documents; layout_body_size and its SQL take lines of the benchmark."""
+    return layout.body_size(_document_segments(spark, sf_dir).where("pos > 0"))
+
+
+@R.add(f"SELECT doc_id, count(*) + CASE WHEN max(i) // {_LINES} + 1 < 3 THEN max(i) // {_LINES} + 1 ELSE 0 END AS n FROM ({_DOCUMENT_LINES}) GROUP BY 1")
+def layout_without_margins_all(spark, sf_dir):
+    """Whole documents; layout_without_margins and its SQL take lines of the benchmark."""
+    return layout.without_margins(_document_segments(spark, sf_dir)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _sections(spark, sf_dir):
-    facts = table(spark, sf_dir, "benchmark").select((F.col("item_id") % 4).alias("doc_id")).distinct()
-    return section_roles.roles(layout.sections(_segments(spark, sf_dir)), facts.withColumns({"toc_end": F.lit(0), "total_pages": F.lit(3)}))
+    pages = F.ceil(F.size(F.split("text", "\n")) / _LINES).cast("int")
+    facts = table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("toc_end"), pages.alias("total_pages"))
+    return section_roles.roles(layout.sections(_document_segments(spark, sf_dir)), facts)
 
 
 @R.add()
@@ -123,8 +163,8 @@ def layout_sections(spark, sf_dir):
 
 @R.add()
 def layout_clean_text(spark, sf_dir):
-    meta = table(spark, sf_dir, "benchmark").select((F.col("item_id") % 4).alias("doc_id")).distinct()
-    return section_roles.clean_text(_sections(spark, sf_dir), meta.select("doc_id", F.lit("T").alias("title"), F.lit("").alias("author"), F.lit("").alias("description")))
+    meta = table(spark, sf_dir, "documents").select("doc_id", F.lit("T").alias("title"), F.lit("").alias("author"), F.lit("").alias("description"))
+    return section_roles.clean_text(_sections(spark, sf_dir), meta)
 
 
 _KINDS = """SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 'Contents' WHEN 1 THEN 'Appendix A' WHEN 2 THEN 'References' WHEN 3 THEN '' WHEN 4 THEN 'About us' WHEN 5 THEN 'Acknowledgements' WHEN 6 THEN 'Empty' WHEN 7 THEN 'About this report' ELSE 'Plain' END AS heading FROM documents"""

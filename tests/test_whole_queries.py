@@ -26,3 +26,15 @@ def test_lookup_and_stage_take_all_rows(spark):
     assert odd and all(r.source is not None for r in odd)
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     assert run(spark, "stage_input_all").count() == labels.where(F.col("toxic") == 0).count() > 9
+
+
+def test_flows_and_layouts_take_all_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    routes = {r.doc_id: r.route for r in run(spark, "doc_profile").collect()}
+    assert {r.resource_id: r.route for r in run(spark, "batch_tagging").collect()} == routes
+    written = {r.doc_id for r in docs.where(F.col("text").rlike(r"\S")).select("doc_id").collect()}
+    assert {r.resource_id for r in run(spark, "chunk_tagging").collect()} == written
+    assert {r.doc_id for r in run(spark, "summaries").collect()} == written
+    assert {r.doc_id for r in run(spark, "layout_clean_text").collect()} == ids
+    assert {r.doc_id for r in run(spark, "layout_sections").collect()} >= written
