@@ -200,3 +200,10 @@ def cover_overlap(spark, sf_dir):
 @R.add("SELECT doc_id, n, strlen(c) AS size FROM (SELECT doc_id, 1 AS n, lang || ':' || source AS c FROM documents)")
 def normalised_size(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.lit(1).alias("n"), F.octet_length(T.normalise_pdf(F.concat_ws(":", "lang", "source"))).cast("long").alias("size"))
+
+
+@R.add()
+def normalised_text_size(spark, sf_dir):
+    """The normaliser over whole texts; normalised_size and its SQL take two short codes."""
+    clean = T.normalise_pdf(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", clean.alias("clean")).select("doc_id", F.octet_length("clean").cast("long").alias("size"), F.md5("clean").alias("digest"))

@@ -1,5 +1,9 @@
 """Queries over all rows of their tables."""
 
+import hashlib
+import re
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from lexiforge.plans import catalogue, tag_queries
@@ -38,3 +42,17 @@ def test_flows_and_layouts_take_all_documents(spark):
     assert {r.doc_id for r in run(spark, "summaries").collect()} == written
     assert {r.doc_id for r in run(spark, "layout_clean_text").collect()} == ids
     assert {r.doc_id for r in run(spark, "layout_sections").collect()} >= written
+
+
+def test_whole_texts_are_normalised(spark, tmp_path):
+    def brute(text):
+        kept = "".join(c for c in unicodedata.normalize("NFKC", text or "") if c in "\n\t" or unicodedata.category(c) not in ("Cc", "Cf"))
+        raw = re.sub(r"\s+", " ", kept).strip().encode()
+        return len(raw), hashlib.md5(raw).hexdigest()
+
+    odd = [(1, None), (2, "ﬁn\u00adal\u200b  x²\u00a0y\u0007\n\tz "), (3, "")]
+    spark.createDataFrame(odd, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for folder in (SMALL, str(tmp_path)):
+        want = {r.doc_id: brute(r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+        got = {r.doc_id: (r["size"], r.digest) for r in catalogue.queries()["normalised_text_size"](spark, folder).collect()}
+        assert got == want
