@@ -5,9 +5,10 @@ audio and document parts into one ordered string with a placeholder for each
 attachment, records the attachments and counts the tokens they expand to.
 The template writes a turn as ``<|im_start|>ROLE\\nBODY<|im_end|>\\n``.
 
-Control strings inside texts are escaped so that the body never holds ``<|``:
-every ``<`` + backslashes + ``|`` gets one more backslash, and reading takes one
-away. Line breaks and backslashes of a role are escaped too.
+Control strings inside texts are escaped so that no text makes a ``<|``: in each
+run of text, that is all that stands between two placeholders whatever parts it
+came from, every ``<`` + backslashes + ``|`` gets one more backslash, and reading
+takes one away, run by run. Line breaks and backslashes of a role are escaped too.
 
 The formatted conversation is the concatenation of its turns' segments in
 order; a segment is a row, so a conversation of any length is never held whole.
@@ -47,7 +48,7 @@ PART = T.StructType(
 )
 
 _CONTROL, _GUARDED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
-_ATTACHED = re.compile(r"<\|(image|audio|document):(\d+)\|>")
+_ATTACHED = re.compile(r"<\|(?:image|audio|document):\d+\|>")
 
 
 def escape(text: str) -> str:
@@ -58,6 +59,11 @@ def unescape(text: str) -> str:
     return _GUARDED.sub(r"<\1|", text)
 
 
+def read_body(body: str) -> str:
+    """The texts of a body, without its placeholders."""
+    return "".join(map(unescape, _ATTACHED.split(body)))
+
+
 def escape_role(role: str) -> str:
     return escape(role.replace("\\", "\\\\").replace("\n", "\\n"))
 
@@ -71,16 +77,27 @@ class Visitor:
 
     def __init__(self):
         self.out: list[str] = []
+        self.run: list[str] = []
         self.attachments: list[dict] = []
         self.expanded = 0
 
+    def body(self) -> str:
+        self._end_run()
+        return "".join(self.out)
+
+    def _end_run(self) -> None:
+        # texts are escaped together, as a control string may span parts
+        self.out.append(escape("".join(self.run)))
+        self.run.clear()
+
     def visit(self, part: dict) -> None:
         getattr(self, f"visit_{part.get('type') or 'text'}", self.visit_text)(part)
 
     def visit_text(self, part: dict) -> None:
-        self.out.append(escape(part.get("text") or ""))
+        self.run.append(part.get("text") or "")
 
     def _attach(self, kind: str, part: dict) -> None:
+        self._end_run()
         fixed, per = EXPANSION[kind]
         tokens = fixed + -(-(part.get("size") or 0) // per)
         self.out.append(f"<|{kind}:{len(self.attachments)}|>")
@@ -95,8 +112,7 @@ class Visitor:
 
     def visit_document(self, part: dict) -> None:
         self._attach("document", part)
-        if part.get("text"):
-            self.out.append(escape(part["text"]))
+        self.visit_text(part)
 
 
 SEGMENT = (
@@ -123,7 +139,7 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             role, visitor = row["role"] or "", Visitor()
             for part in row["parts"] or []:
                 visitor.visit(part or {})
-            head, body = f"{START}{escape_role(role)}\n", "".join(visitor.out)
+            head, body = f"{START}{escape_role(role)}\n", visitor.body()
             lo, hi = (len(head), len(head) + len(body)) if role in TRAINED else (0, 0)
             rows.append(
                 {
@@ -155,7 +171,7 @@ def read_segment(segment: str) -> tuple[str, str]:
     if not (segment.startswith(START) and segment.endswith(END + "\n")):
         raise ValueError("not a formatted turn")
     role, _, body = segment[len(START) : -len(END) - 1].partition("\n")
-    return unescape_role(role), unescape(_ATTACHED.sub("", body))
+    return unescape_role(role), read_body(body)
 
 
 _DIGEST = pa.schema(
@@ -190,7 +206,7 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             role, text = read_segment(segment)
             state["n_turns"] += 1
             state["turns"].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-            trained = unescape(_ATTACHED.sub("", segment[lo:hi]))
+            trained = read_body(segment[lo:hi])
             state["loss_chars"] += len(trained)
             state["loss"].update(trained.encode("utf-8", "surrogatepass"))
             state["formatted_chars"] += len(segment)
@@ -205,8 +221,16 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_back(segments: DataFrame) -> DataFrame:
     """Digests of what the formatted segments hold, one row per conversation."""
-    # equal (turn, segment) rows are interchangeable, so this order is total
-    ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "segment")
+    rows = segments.select("conv_id", "turn", "segment", "loss_from", "loss_to").repartition("conv_id")
+    # role and text are read after the exchange, so that they needn't travel; equal rows are interchangeable
+    end = F.locate("\n", "segment")
+    role = F.substr("segment", F.lit(len(START) + 1), end - len(START) - 1)
+    body = F.substr("segment", end + 1, F.length("segment") - end - len(END) - 1)
+    runs = F.transform(F.split(body, _ATTACHED.pattern), lambda r: F.regexp_replace(r, _GUARDED.pattern, "<$1|"))
+    whole = F.split(F.regexp_replace(role, _GUARDED.pattern, "<$1|"), r"\\\\")
+    plain = F.array_join(F.transform(whole, lambda r: F.replace(r, F.lit("\\n"), F.lit("\n"))), "\\")
+    ordered = rows.withColumns({"role": plain, "text": F.array_join(runs, "")})
+    ordered = ordered.sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text")
     return ordered.select("conv_id", "segment", "loss_from", "loss_to").mapInArrow(
         _read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )
