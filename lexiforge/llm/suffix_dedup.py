@@ -10,25 +10,31 @@ in vain, since most occur once; so the suffixes to sort are found first.
    once in the corpus are unique.
 2. An anchor's record is the text around it that strings through it can reach
    (REACH bytes on the left, SPAN from its start on the right). Records with
-   equal text, found by counting digests, repeat as a whole.
+   equal text, found by counting digests, repeat as a whole; a block of texts
+   counts its own first and sends one row for each different record.
 3. Anchors that occur with different texts are sorted: their right parts and
    their reversed left parts are suffixes, ordered by deep-shallow sorting.
-   Multikey steps of 8 bytes order them to a shallow depth, blind tries order
-   what still ties. In the order of the left parts, records that share l bytes
-   are neighbours; the longest right match r of each inside such a set shows a
-   repeated string of l + r bytes.
-4. The spans of a document are united and cut from its bytes.
-
-Only 28 bytes per anchor (about one anchor in 68 bytes) go through the large
+   Multikey quicksort on 8-byte letters orders them to a shallow depth, blind
+   tries order what still ties. In the order of the left parts, records that
+   share l bytes are neighbours; the longest right match r of each inside such a
+   set shows a repeated string of l + r bytes.
+4. An anchor with more than GROUP different records, too many for one task, is
+   split: a string through it has k bytes before the anchor, and the range of k
+   is halved. A record goes to either half as the window that strings of this
+   half can reach, dealt by the bytes that all of them hold; equal windows
+   repeat as a whole and become one. So groups shrink until each can be sorted;
+   where k is a single number all windows of a group are equal.
+5. The spans of a document are united and cut from its bytes.
+
+Only 36 bytes per anchor (about one anchor in 68 bytes) go through the large
 shuffles; counting combines before the shuffle, and the joins have a plain
-exchange on either side, so that a hot anchor's rows are split. Anchors with
-more than GROUP different records, too many for one task, are resolved by
-counting the digests of their strings instead.
+exchange on either side, so that a hot anchor's rows are split. Rows get a key
+when they are first staged, and everything is joined by it.
 
 Defined results for odd input: null text is empty; texts under SPAN bytes lose
-nothing; repeated rows are copies of each other, so they lose all (from SPAN
-bytes on); a doc_id names one text; empty tables give none; other columns don't
-take part.
+nothing; repeated rows, also those without doc_id, are copies of each other, so
+they lose all (from SPAN bytes on); rows that share a doc_id are judged each by
+its own text; empty tables give none; other columns don't take part.
 """
 
 from __future__ import annotations
@@ -39,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
@@ -50,11 +56,11 @@ SPAN, GRAM = 200, 64
 REACH = SPAN - GRAM
 #: Bytes whose anchors are found together.
 BLOCK_BYTES = 1 << 18
-#: Records of one anchor that one task sorts.
-GROUP = 50_000
+#: Records of one anchor that one task sorts; more are split.
+GROUP = 20_000
 #: Records after which the groups gathered so far are sorted.
 SORTED = 20_000
-#: Depth in bytes to which suffixes are ordered by words before blind tries take over.
+#: Depth in bytes to which suffixes are ordered by multikey quicksort before blind tries take over.
 SHALLOW = 16
 
 _U = np.uint64
@@ -100,86 +106,110 @@ def _find(raw: list[bytes]) -> tuple[np.ndarray, ...]:
         return who, at - start[who], gram[at].view(np.int64), ctx.view(np.int64)
 
 
-def _blocks(ids: list, texts: list) -> Iterator[tuple[list, list[bytes]]]:
-    """Groups of (ids, bytes) of bounded size; a long text is a group of its own."""
-    held_ids, held, size = [], [], 0
-    for doc_id, text in zip(ids, texts, strict=True):
-        raw = (text or "").encode("utf-8", "surrogatepass")
+def _unpacked(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw) if raw else b""
+
+
+def _blocks(keys: list, packed: list) -> Iterator[tuple[list, list[bytes]]]:
+    """Groups of (keys, bytes) of bounded size; a long text is a group of its own."""
+    held_keys, held, size = [], [], 0
+    for key, small in zip(keys, packed, strict=True):
+        raw = _unpacked(small)
         if held and size + len(raw) > BLOCK_BYTES:
-            yield held_ids, held
-            held_ids, held, size = [], [], 0
-        held_ids.append(doc_id)
+            yield held_keys, held
+            held_keys, held, size = [], [], 0
+        held_keys.append(key)
         held.append(raw)
         size += len(raw)
     if held:
-        yield held_ids, held
+        yield held_keys, held
 
 
 #: Longer texts are searched piece by piece.
 PIECE = 900_000
 
 
+def _find_long(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, fp, ctx) of the anchors of a long text, from overlapping pieces."""
+    own: dict[int, tuple[int, int]] = {}
+    edge = 2 * SPAN  # each string and each record lies whole in the piece it is taken from
+    for lo in range(0, len(text), PIECE - 2 * edge - SPAN):
+        piece = text[lo : lo + PIECE]
+        end = lo + PIECE >= len(text)
+        _, pos, fp, ctx = _find([piece])
+        first, last = (0 if lo == 0 else edge - SPAN), (len(piece) if end else len(piece) - SPAN)
+        for p, f, c in zip(pos.tolist(), fp.tolist(), ctx.tolist(), strict=True):
+            if (lo == 0 or first <= p - REACH) and (end or p + SPAN <= last):
+                own[lo + p] = (f, c)
+        if end:
+            break
+    pos = np.array(sorted(own), np.int64)
+    return pos, np.array([own[p][0] for p in pos.tolist()], np.int64), np.array([own[p][1] for p in pos.tolist()], np.int64)
+
+
+#: Rows with fp: a record, how often its block holds it, and where it stands; rows without: a span known to repeat.
+ANCHOR = "fp long, ctx long, n long, key long, lo int, hi int"
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for ids, raw in _blocks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for keys, raw in _blocks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if len(raw) == 1 and len(raw[0]) > PIECE:
-                # pieces overlap so that each string and each record lies whole in the piece it is taken from
-                text, own = raw[0], {}
-                edge = 2 * SPAN
-                for lo in range(0, len(text), PIECE - 2 * edge - SPAN):
-                    piece = text[lo : lo + PIECE]
-                    _, pos, fp, ctx = _find([piece])
-                    first, last = (0 if lo == 0 else edge - SPAN), (len(piece) if lo + PIECE >= len(text) else len(piece) - SPAN)
-                    for p, f, c in zip(pos.tolist(), fp.tolist(), ctx.tolist(), strict=True):
-                        if first <= p - REACH or lo == 0:
-                            if p + SPAN <= last or lo + PIECE >= len(text):
-                                own[lo + p] = (f, c)
-                    if lo + PIECE >= len(text):
-                        break
-                pos = np.array(sorted(own), np.int64)
-                doc = np.full(len(pos), ids[0])
-                fp = np.array([own[p][0] for p in pos.tolist()], np.int64)
-                ctx = np.array([own[p][1] for p in pos.tolist()], np.int64)
+                pos, fp, ctx = _find_long(raw[0])
+                who = np.zeros(len(pos), np.int64)
             else:
                 who, pos, fp, ctx = _find(raw)
-                doc = np.asarray(ids, dtype=object)[who]
-            yield pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(ctx, pa.int64()), pa.array(doc, pa.int64()), pa.array(pos.astype(np.int32))], names=["fp", "ctx", "doc_id", "pos"])
+            key = np.array(keys, np.int64)[who]
+            order = np.lexsort((pos, who, ctx, fp))
+            key, pos, fp, ctx = key[order], pos[order], fp[order], ctx[order]
+            first = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (ctx[1:] != ctx[:-1])])[: len(fp)])
+            n = np.diff(np.append(first, len(fp)))
+            again = np.repeat(n > 1, n)
+            doc, lo, hi = overlay(key[again], np.maximum(pos[again] - REACH, 0), pos[again] + SPAN)
+            empty = pa.nulls(len(doc), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.array(fp[first], pa.int64()), empty]),
+                    pa.concat_arrays([pa.array(ctx[first], pa.int64()), empty]),
+                    pa.concat_arrays([pa.array(n, pa.int64()), empty]),
+                    pa.array(np.concatenate([key[first], doc]), pa.int64()),
+                    pa.array(np.concatenate([pos[first], lo]).astype(np.int32)),
+                    pa.array(np.concatenate([pos[first], hi]).astype(np.int32)),
+                ],
+                names=["fp", "ctx", "n", "key", "lo", "hi"],
+            )
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, ...) -> (doc_id, zstd of the bytes, ...): half the size in a shuffle."""
+    """(key, text, ...) -> (key, zstd of the bytes, ...): half the size in a shuffle."""
     pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         raw = [pack((t or "").encode("utf-8", "surrogatepass")) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary()), *batch.columns[2:]], names=["doc_id", "packed", *batch.schema.names[2:]])
-
-
-def _unpacked(raw: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(raw) if raw else b""
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary()), *batch.columns[2:]], names=["key", "packed", *batch.schema.names[2:]])
 
 
-RECORD = "fp long, doc_id long, pos int, back int, bytes binary"
+RECORD = "fp long, key long, pos int, back int, bytes binary"
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, packed, wanted anchors) -> the bytes around each wanted anchor; ``back`` of them stand before it."""
+    """(key, packed, wanted anchors) -> the bytes around each wanted anchor; ``back`` of them stand before it."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             part = batch.slice(lo, 256).to_pylist()
-            fp, doc, pos, back, out = [], [], [], [], []
+            fp, key, pos, back, out = [], [], [], [], []
             for row in part:
                 raw = _unpacked(row["packed"])
                 for want in row["wanted"]:
                     p = want["pos"]
                     a = max(0, p - REACH)
                     fp.append(want["fp"])
-                    doc.append(row["doc_id"])
+                    key.append(row["key"])
                     pos.append(p)
                     back.append(p - a)
                     out.append(raw[a : p + SPAN])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(fp, pa.int64()), pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.array(back, pa.int32()), pa.array(out, pa.binary())],
-                names=["fp", "doc_id", "pos", "back", "bytes"],
+                [pa.array(fp, pa.int64()), pa.array(key, pa.int64()), pa.array(pos, pa.int32()), pa.array(back, pa.int32()), pa.array(out, pa.binary())],
+                names=["fp", "key", "pos", "back", "bytes"],
             )
 
 
@@ -243,17 +273,59 @@ class BlindTrie:
         return out
 
 
+def multikey(group: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Multikey quicksort of the rows of ``words`` inside each group, groups ascending.
+
+    Gives the order and, for each place, whether its row equals the one before.
+    A segment of rows that tie so far is parted into those below, equal to and
+    above the middle row's letter; the equal ones go on with the next letter.
+    All segments of a round are parted together.
+    """
+    n, depth = words.shape
+    order = np.argsort(group, kind="stable")
+    ties = np.zeros(n, bool)
+    if not n:
+        return order, ties
+    edge = np.flatnonzero(np.diff(group[order], prepend=group[order[0]] - 1) != 0)
+    start, size, level = edge, np.diff(np.append(edge, n)), np.zeros(len(edge), np.int64)
+    while len(start):
+        live = size > 1
+        done = live & (level == depth)
+        for lo, hi in zip(start[done].tolist(), (start + size)[done].tolist(), strict=True):
+            ties[lo + 1 : hi] = True
+        start, size, level = (x[live & ~done] for x in (start, size, level))
+        if not len(start):
+            break
+        base = np.concatenate([[0], np.cumsum(size)[:-1]])
+        own = np.repeat(np.arange(len(start)), size)
+        place = np.arange(len(own)) - np.repeat(base, size) + np.repeat(start, size)
+        row = order[place]
+        letter = words[row, np.repeat(level, size)]
+        # the pivot is the median of the first, middle and last letter
+        three = np.sort(np.stack([letter[base], letter[base + size // 2], letter[base + size - 1]]), axis=0)
+        pivot = three[1][own]
+        side = (letter >= pivot).astype(np.int8) + (letter > pivot)
+        below = np.bincount(own, side == 0, len(start)).astype(np.int64)
+        equal = np.bincount(own, side == 1, len(start)).astype(np.int64)
+        first = np.stack([start, start + below, start + below + equal])
+        for k in range(3):
+            mine = side == k
+            seen = np.cumsum(mine) - mine  # rows of this side before, in all segments
+            order[first[k][own[mine]] + seen[mine] - seen[base][own[mine]]] = row[mine]
+        above = size - below - equal
+        start, size, level = np.concatenate(list(first)), np.concatenate([below, equal, above]), np.concatenate([level, level + 1, level])
+    return order, ties
+
+
 def deep_shallow(group: np.ndarray, text: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Order of the strings ``text[i, :size[i]]`` (zeros behind) inside each group, groups ascending.
 
-    Multikey: 8 bytes at a time are one key, and only ties go to the next 8, down
-    to SHALLOW bytes. Strings that still tie have a long common prefix; a blind
-    trie orders each such set.
+    Multikey quicksort orders them by SHALLOW bytes, 8 at a time. Strings that
+    still tie have a long common prefix; a blind trie orders each such set.
     """
     words = np.ascontiguousarray(text[:, :SHALLOW]).view(">u8").astype(np.uint64)
-    order = np.lexsort((*(words[:, k] for k in range(words.shape[1] - 1, -1, -1)), group))
-    tied = (group[order][1:] == group[order][:-1]) & (words[order][1:] == words[order][:-1]).all(axis=1)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], tied.astype(np.int8), [0]])))
+    order, ties = multikey(group, words)
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], ties[1:].astype(np.int8), [0]])))
     for lo, hi in zip(edge[::2].tolist(), (edge[1::2] + 1).tolist(), strict=True):
         own = order[lo:hi]
         strings = [text[i, : size[i]].tobytes() for i in own.tolist()]
@@ -316,7 +388,7 @@ def repeated_spans(group: np.ndarray, left: np.ndarray, n_left: np.ndarray, righ
         yield own[hit], np.full(int(hit.sum()), -depth), best[hit]
 
 
-SPANS = "doc_id long, lo int, hi int"
+SPANS = "key long, lo int, hi int"
 
 
 def overlay(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -341,7 +413,7 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Records in order of fp -> repeated spans. Whole groups are sorted together, many at a time."""
 
     def resolve(rows: pa.Table) -> pa.RecordBatch:
-        fp, doc, pos, back = (rows.column(c).to_numpy() for c in ("fp", "doc_id", "pos", "back"))
+        fp, doc, pos, back = (rows.column(c).to_numpy() for c in ("fp", "key", "pos", "back"))
         raw = rows.column("bytes").to_pylist()
         left, n_left = _matrix([r[:b][::-1] for r, b in zip(raw, back.tolist(), strict=True)], REACH)
         right, n_right = _matrix([r[b:] for r, b in zip(raw, back.tolist(), strict=True)], SPAN)
@@ -350,7 +422,7 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         lo = pos[who] + np.concatenate([np.zeros(0, np.int64), *(f[1] for f in found)])
         hi = pos[who] + np.concatenate([np.zeros(0, np.int64), *(f[2] for f in found)])
         doc, lo, hi = overlay(doc[who], lo, hi)
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["doc_id", "lo", "hi"])
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["key", "lo", "hi"])
 
     held: list[pa.RecordBatch] = []
     rows, last = 0, None
@@ -369,19 +441,40 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield resolve(pa.Table.from_batches(held))
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of very frequent anchors -> the digest of each string through the anchor."""
+WINDOW = "fp long, first int, last int, whole long, key long, pos int, back int, bytes binary"
+
+
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records whose strings have first..last bytes before the anchor -> a window for either half of this range."""
+
+    def digest(*parts: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), signed=True)
+
     for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512).to_pylist()
-            doc, at, digest = [], [], []
-            for row in part:
-                raw = row["bytes"]
-                for k in range(len(raw) - SPAN + 1):
-                    doc.append(row["doc_id"])
-                    at.append(row["pos"] - row["back"] + k)
-                    digest.append(hashlib.blake2b(raw[k : k + SPAN], digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(at, pa.int32()), pa.array(digest, pa.binary())], names=["doc_id", "at", "digest"])
+        for at in range(0, batch.num_rows, 1024):
+            out = []
+            for row in batch.slice(at, 1024).to_pylist():
+                raw, back, mid = row["bytes"], row["back"], (row["first"] + row["last"]) // 2
+                for first, last in ((row["first"], mid), (mid + 1, row["last"])):
+                    if back < first or len(raw) - back < SPAN - last:
+                        continue  # holds no string of this half
+                    window = raw[max(0, back - last) : back + SPAN - first]
+                    left = min(back, last)
+                    name = row["fp"].to_bytes(8, signed=True) + bytes([first, last])
+                    out.append(
+                        {
+                            "fp": digest(name, raw[back - first : back + SPAN - last]),
+                            "first": first,
+                            "last": last,
+                            "whole": digest(bytes([left]), window),
+                            "key": row["key"],
+                            "pos": row["pos"],
+                            "back": left,
+                            "bytes": window,
+                        }
+                    )
+            schema = pa.schema([("fp", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("whole", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("back", pa.int32()), ("bytes", pa.binary())])
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
 # -- cutting -------------------------------------------------------------------
@@ -412,7 +505,7 @@ CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed",
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for doc_id, packed, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+        for packed, spans, doc_id in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
             raw = _unpacked(packed.as_py())
             kept, runs = cut(raw, spans)
             rows.append({"doc_id": doc_id, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": runs, "kept_sha256": hashlib.sha256(kept).hexdigest()})
@@ -424,60 +517,71 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
             # a character that lost some of its bytes goes altogether
-            out = [cut(_unpacked(p.as_py()), s)[0].decode("utf-8", "ignore") for p, s in zip(part.column(1), part.column(2), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), part.column(3)], names=["text", "rest"])
+            out = [cut(_unpacked(p.as_py()), s)[0].decode("utf-8", "ignore") for p, s in zip(part.column(0), part.column(1), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), part.column(2)], names=["text", "rest"])
+
 
+def _alike(records: DataFrame, by: list[str], kept: Column) -> DataFrame:
+    """One record of each kind, and how many there are."""
+    return records.groupBy(*by).agg(F.sum("n").alias("n"), F.min(kept).alias("rep"))
 
-def repeated_strings(docs: DataFrame, staging: Staging, group: int = GROUP) -> DataFrame:
-    """``doc_id, spans``: spans that cover the repeated bytes of each document that has some."""
-    texts = docs.select("doc_id", "text")
-    anchors = texts.mapInArrow(_anchors, "fp long, ctx long, doc_id long, pos int")
-    often = anchors.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("low"), F.max("ctx").alias("high")).where("n > 1")
+
+def repeated_strings(texts: DataFrame, staging: Staging, group: int = GROUP) -> DataFrame:
+    """``key, spans`` from staged ``texts`` (key, packed): spans that cover the repeated bytes of each text that has some."""
+    anchors = staging.put(texts.select("key", "packed").mapInArrow(_anchors, ANCHOR), "anchors")
+    spans = [anchors.where("fp is null").select("key", "lo", "hi")]
+    anchors = anchors.where("fp is not null").select("fp", "ctx", "n", "key", F.col("lo").alias("pos"))
+    often = anchors.groupBy("fp").agg(F.sum("n").alias("n"), F.min("ctx").alias("low"), F.max("ctx").alias("high")).where("n > 1")
     often = staging.put(often.select("fp", (F.col("low") != F.col("high")).alias("mixed")), "often")
     found = staging.put(anchors.join(often, "fp"), "found")
-    staging.drop("often")
-    alike = staging.put(
-        found.groupBy("fp", "ctx", "mixed").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "pos")).alias("rep")), "alike"
-    )
-    # records with equal text
-    whole = found.drop("mixed").join(alike.where("n > 1").select("fp", "ctx"), ["fp", "ctx"])
-    whole = whole.select("doc_id", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("lo"), (F.col("pos") + SPAN).alias("hi"))
+    alike = staging.put(_alike(found, ["fp", "ctx", "mixed"], F.struct("key", "pos")), "alike")
+    # records with equal text; those that a block holds twice are spans already
+    told = found.where("n = 1").select("fp", "ctx", "key", "pos").join(alike.where("n > 1").select("fp", "ctx"), ["fp", "ctx"])
+    spans.append(told.select("key", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("lo"), (F.col("pos") + SPAN).alias("hi")))
 
     # one record of each text where an anchor has several
-    mixed = alike.where("mixed").select("fp", "rep.doc_id", "rep.pos")
-    sizes = staging.put(mixed.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("fp"), "sizes")
-    wanted = mixed.groupBy("doc_id").agg(F.collect_list(F.struct("fp", "pos")).alias("wanted"))
-    packed = texts.mapInArrow(_packed, "doc_id long, packed binary")
-    records = packed.join(wanted, "doc_id").select("doc_id", "packed", "wanted").mapInArrow(_records, RECORD)
-    records = staging.put(records, "records")
-    normal = records.join(sizes, "fp", "left_anti").repartition("fp").sortWithinPartitions("fp")
-    spans = normal.select("fp", "doc_id", "pos", "back", "bytes").mapInArrow(_sorted_spans, SPANS)
-    if not sizes.isEmpty():
-        strings = staging.put(records.join(sizes, "fp", "left_semi").mapInArrow(_strings, "doc_id long, at int, digest binary").distinct(), "strings")
-        twice = staging.put(strings.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "twice")
-        spans = spans.union(strings.join(twice, "digest").select("doc_id", F.col("at").alias("lo"), (F.col("at") + SPAN).cast("int").alias("hi")))
-    spans = spans.union(whole.select("doc_id", "lo", F.col("hi").cast("int")))
-    merged = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    merged = staging.put(merged, "spans")
-    staging.drop(*[n for n in staging.made if n != "spans"])
+    mixed = alike.where("mixed").select("fp", "rep.key", "rep.pos")
+    wanted = mixed.groupBy("key").agg(F.collect_list(F.struct("fp", "pos")).alias("wanted"))
+    records = texts.select("key", "packed").join(wanted, "key").select("key", "packed", "wanted").mapInArrow(_records, RECORD)
+    records = staging.put(records.withColumns({"first": F.lit(0), "last": F.lit(REACH)}), "records")
+    for turn in range(1, 1 + REACH.bit_length() + 1):
+        large = staging.put(records.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("fp"), f"large-{turn}")
+        small = records.join(large, "fp", "left_anti") if not (last := large.isEmpty()) else records
+        small = small.select("fp", "key", "pos", "back", "bytes").repartition("fp").sortWithinPartitions("fp")
+        spans.append(small.mapInArrow(_sorted_spans, SPANS))
+        if last:
+            break
+        halves = staging.put(records.join(large, "fp", "left_semi").select("fp", "key", "pos", "back", "bytes", "first", "last").mapInArrow(_halves, WINDOW).withColumn("n", F.lit(1)), f"halves-{turn}")
+        alike = staging.put(_alike(halves, ["fp", "whole", "first", "last"], F.struct("key", "pos", "back", "bytes")), f"alike-{turn}")
+        told = halves.drop("n").join(alike.where("n > 1").select("fp", "whole"), ["fp", "whole"])
+        spans.append(told.select("key", (F.col("pos") - F.col("back")).alias("lo"), (F.col("pos") - F.col("back") + F.length("bytes")).alias("hi")))
+        records = alike.select("fp", "rep.*", "first", "last")
+    every = spans[0]
+    for more in spans[1:]:
+        every = every.union(more.select("key", F.col("lo").cast("int"), F.col("hi").cast("int")))
+    merged = staging.put(every.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    staging.drop(*[n for n in staging.made if n not in ("texts", "spans")])
     return merged
 
 
+def _with_spans(docs: DataFrame, group: int) -> DataFrame:
+    """``packed, spans, rest`` for each row of ``docs``; ``rest`` holds its columns other than text."""
+    staging = Staging(docs.sparkSession, "suffix-dedup")
+    rows = docs.select(F.monotonically_increasing_id().alias("key"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
+    # written once, so that a row keeps its key whatever is computed again
+    texts = staging.put(rows.mapInArrow(_packed, StructType([rows.schema["key"], StructField("packed", BinaryType()), rows.schema["rest"]])), "texts")
+    return texts.join(repeated_strings(texts, staging, group), "key", "left").select("packed", "spans", "rest")
+
+
 def suffix_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``docs`` (doc_id, text)."""
-    spans = repeated_strings(docs, Staging(docs.sparkSession, "suffix-dedup"), group)
-    packed = docs.select("doc_id", "text").mapInArrow(_packed, "doc_id long, packed binary")
-    joined = packed.join(spans, "doc_id", "left").select("doc_id", "packed", "spans")
+    joined = _with_spans(docs.select("doc_id", "text"), group).select("packed", "spans", F.col("rest.doc_id").cast("long").alias("doc_id"))
     return joined.mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """The rows of ``docs`` with repeated strings cut from their texts, and n_chars, if there, set anew."""
-    spans = repeated_strings(docs, Staging(docs.sparkSession, "suffix-dedup"), group)
-    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
-    rest = rows.schema["rest"]
-    packed = rows.mapInArrow(_packed, StructType([rows.schema["doc_id"], StructField("packed", BinaryType()), rest]))
-    joined = packed.join(spans, "doc_id", "left").select("doc_id", "packed", "spans", "rest")
-    cut_rows = joined.mapInArrow(_texts, StructType([StructField("text", StringType()), rest]))
+    joined = _with_spans(docs, group)
+    cut_rows = joined.mapInArrow(_texts, StructType([StructField("text", StringType()), joined.schema["rest"]]))
     out = cut_rows.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
