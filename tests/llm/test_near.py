@@ -65,7 +65,7 @@ def corpus():
 
 def test_against_brute_force(spark):
     rows = corpus()
-    df = spark.createDataFrame([(*r, 1, "x", "y") for r in rows], "doc_id long, text string, n long, fp string, rep string").repartition(4)
+    df = spark.createDataFrame([(*r, 1, "x", "y", 0, "z") for r in rows], "doc_id long, text string, n long, fp string, rep string, node int, sig string").repartition(4)
     for percent in (80, 85):
         got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df, percent).collect())
         assert got == brute(rows, percent)
@@ -87,6 +87,37 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
 
 
+def test_rows_that_share_a_doc_id(spark):
+    a, b = "one text of eight plain words in row", "another one that has nothing to do with it"
+    rows = [(1, a), (1, b), (2, b), (3, a), (3, a), (3, None), (4, "x y z"), (4, "x  Y z"), (None, a), (5, ""), (5, "")]
+    df = spark.createDataFrame([(*r, [1]) for r in rows], "doc_id long, text string, digest array<int>").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df, 80).collect()), key=str)
+    assert got == sorted([(1, 4, 1, True), (1, 5, 1, True), (2, 5, 1, False), (3, 4, 1, False), (3, 4, 1, False), (3, 0, 3, True), (4, 1, 4, True), (4, 1, 4, True), (None, 4, None, True), (5, 0, 5, True), (5, 0, 5, True)], key=str)
+    kept = sorted(((r.doc_id, r.text if r.doc_id != 4 else "x") for r in near_dedup.keep_documents(df, 80).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (3, None), (4, "x"), (None, a), (5, "")], key=str)
+
+
+def test_links_beside_the_hubs(spark):
+    """Families whose members are near their like and far from the smallest of the bucket."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows, n = [], 0
+    for _ in range(4):
+        base = [word() for _ in range(200)]
+        for _ in range(14):
+            kind = list(base)
+            for at in rng.sample(range(200), rng.randint(6, 16)):
+                kind[at] = word()
+            for _ in range(rng.randint(1, 4)):
+                own = list(kind)
+                own[rng.randrange(200)] = word()
+                rows.append((n, " ".join(own)))
+                n += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for percent in (80, 85):
+        assert sorted(tuple(r) for r in near_dedup.near_duplicates(df, percent).collect()) == brute(rows, percent)
+
+
 def test_empty_table(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
