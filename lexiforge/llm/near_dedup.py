@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .components import components
+from .packed import pack, unpack
 from .shingles import mix, shingle_sets
 from .staging import Staging
 
@@ -144,12 +145,13 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _matching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, fp, text) -> (node, text) where the text has the digest that is looked for."""
+    """(node, fp, packed) -> (node, packed) where the text has the digest that is looked for."""
     for batch in batches:
         for lo in range(0, batch.num_rows, GROUP):
             part = batch.slice(lo, GROUP)
-            same = [_digest(s) == fp for s, fp in zip(shingle_sets(part.column(2).to_pylist()), part.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2)], names=["node", "text"]).filter(pa.array(same, pa.bool_()))
+            sets = shingle_sets([unpack(p) for p in part.column(2).to_pylist()])
+            same = [_digest(s) == fp for s, fp in zip(sets, part.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2)], names=["node", "packed"]).filter(pa.array(same, pa.bool_()))
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +189,8 @@ def _verify(percent: int):
             out, hub = [], (None, None)
             for i, (a, b) in enumerate(zip(a_ids, b_ids, strict=True)):
                 if hub[0] != b:
-                    hub = (b, shingle_sets([b_text[i].as_py()])[0])
-                own = shingle_sets([a_text[i].as_py()])[0]
+                    hub = (b, shingle_sets([unpack(b_text[i].as_py())])[0])
+                own = shingle_sets([unpack(a_text[i].as_py())])[0]
                 if linked(len(np.intersect1d(own, hub[1], assume_unique=True)), len(own), len(hub[1]), percent):
                     out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
@@ -251,7 +253,7 @@ def _compare(percent: int):
                 x = parent[x]
             return x
 
-        sets = shingle_sets(group.column("text").to_pylist())
+        sets = shingle_sets([unpack(p) for p in group.column("packed").to_pylist()])
         for o in sides.outliers.tolist():
             for m in sides.partners(o).tolist():
                 x, y = root(int(sides.component[o])), root(int(sides.component[m]))
@@ -299,12 +301,12 @@ def _remaining(member: DataFrame, links: DataFrame, classes: DataFrame, held: Da
     outliers = rest.where("lone").select(*own, F.lit(True).alias("outlier"), "o", every("m_blocks").alias("m"))
     promising = members.unionByName(outliers).groupBy("key", "o", "m").applyInArrow(_promising(percent), DEALT)
     promising = staging.put(promising, "promising")
-    return promising.join(held.select("node", "sig", "text"), "node").groupBy("key", "o", "m").applyInArrow(_compare(percent), "a long, b long")
+    return promising.join(held.select("node", "sig", "packed"), "node").groupBy("key", "o", "m").applyInArrow(_compare(percent), "a long, b long")
 
 
 def _classes(docs: DataFrame, percent: int, staging: Staging) -> tuple[DataFrame, DataFrame]:
     """The staged sketch of every row, and ``fp, component, rep`` of each class: its component and that one's smallest doc_id."""
-    texts = docs.select("doc_id", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = staging.put(texts.mapInArrow(_sketch, SKETCH), "sketch")
     classes = sketch.where("n_shingles > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
     # written with its number, so that a class keeps it whatever is computed again
@@ -318,9 +320,11 @@ def _classes(docs: DataFrame, percent: int, staging: Staging) -> tuple[DataFrame
     # the texts of the classes that share a bucket with another
     involved = star.select("node").union(star.select("hub")).distinct()
     wanted = staging.put(involved.join(classes.select("node", "rep", "fp"), "node").select("node", F.col("rep").alias("doc_id"), "fp"), "wanted")
-    held = texts.join(wanted, "doc_id").select("node", "fp", "text").mapInArrow(_matching, "node long, text string").dropDuplicates(["node"])
+    # always by exchange: what is looked for grows with the corpus
+    packed = texts.mapInArrow(pack, "doc_id long, packed binary")
+    held = packed.join(wanted.hint("merge"), "doc_id").select("node", "fp", "packed").mapInArrow(_matching, "node long, packed binary").dropDuplicates(["node"])
     held = staging.put(held.join(classes.select("node", "sig"), "node"), "held")
-    side = lambda x, n: held.select(F.col("node").alias(n), F.col("sig").alias(f"{x}_sig"), F.col("text").alias(f"{x}_text"))
+    side = lambda x, n: held.select(F.col("node").alias(n), F.col("sig").alias(f"{x}_sig"), F.col("packed").alias(f"{x}_text"))
     pairs = star.select(F.col("node").alias("a"), F.col("hub").alias("b")).join(side("a", "a"), "a").join(side("b", "b"), "b")
     links = staging.put(pairs.mapInArrow(_verify(percent), "a long, b long"), "links")
     more = staging.put(_remaining(member.drop("hub"), links, classes, held, percent, staging), "more")

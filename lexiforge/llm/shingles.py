@@ -75,13 +75,13 @@ def _hash_block(raw: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def shingle_hashes(texts: list[str | None]) -> list[np.ndarray]:
+def shingle_hashes(texts: list[str | bytes | None]) -> list[np.ndarray]:
     """Hashes of the shingles of each text in order, repeats included."""
     out: list[np.ndarray] = []
     block: list[bytes] = []
     size = 0
     for text in texts:
-        raw = (text or "").encode("utf-8", "surrogatepass")
+        raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
         if block and size + len(raw) > BLOCK_BYTES:
             out += _hash_block(block)
             block, size = [], 0
@@ -90,6 +90,6 @@ def shingle_hashes(texts: list[str | None]) -> list[np.ndarray]:
     return out + (_hash_block(block) if block else [])
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | bytes | None]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     return [np.unique(h) for h in shingle_hashes(texts)]

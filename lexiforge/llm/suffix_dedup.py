@@ -44,11 +44,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from .packed import pack, unpack
 from .shingles import _powers, mix
 from .staging import Staging
 
@@ -106,15 +106,11 @@ def _find(raw: list[bytes]) -> tuple[np.ndarray, ...]:
         return who, at - start[who], gram[at].view(np.int64), ctx.view(np.int64)
 
 
-def _unpacked(raw: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(raw) if raw else b""
-
-
 def _blocks(keys: list, packed: list) -> Iterator[tuple[list, list[bytes]]]:
     """Groups of (keys, bytes) of bounded size; a long text is a group of its own."""
     held_keys, held, size = [], [], 0
     for key, small in zip(keys, packed, strict=True):
-        raw = _unpacked(small)
+        raw = unpack(small)
         if held and size + len(raw) > BLOCK_BYTES:
             yield held_keys, held
             held_keys, held, size = [], [], 0
@@ -180,14 +176,6 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, text, ...) -> (key, zstd of the bytes, ...): half the size in a shuffle."""
-    pack = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        raw = [pack((t or "").encode("utf-8", "surrogatepass")) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary()), *batch.columns[2:]], names=["key", "packed", *batch.schema.names[2:]])
-
-
 RECORD = "fp long, key long, pos int, back int, bytes binary"
 
 
@@ -198,7 +186,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(lo, 256).to_pylist()
             fp, key, pos, back, out = [], [], [], [], []
             for row in part:
-                raw = _unpacked(row["packed"])
+                raw = unpack(row["packed"])
                 for want in row["wanted"]:
                     p = want["pos"]
                     a = max(0, p - REACH)
@@ -506,7 +494,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for packed, spans, doc_id in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
-            raw = _unpacked(packed.as_py())
+            raw = unpack(packed.as_py())
             kept, runs = cut(raw, spans)
             rows.append({"doc_id": doc_id, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": runs, "kept_sha256": hashlib.sha256(kept).hexdigest()})
         yield pa.RecordBatch.from_pylist(rows, schema=CUT)
@@ -517,7 +505,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
             # a character that lost some of its bytes goes altogether
-            out = [cut(_unpacked(p.as_py()), s)[0].decode("utf-8", "ignore") for p, s in zip(part.column(0), part.column(1), strict=True)]
+            out = [cut(unpack(p.as_py()), s)[0].decode("utf-8", "ignore") for p, s in zip(part.column(0), part.column(1), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), part.column(2)], names=["text", "rest"])
 
 
@@ -569,7 +557,7 @@ def _with_spans(docs: DataFrame, group: int) -> DataFrame:
     staging = Staging(docs.sparkSession, "suffix-dedup")
     rows = docs.select(F.monotonically_increasing_id().alias("key"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
     # written once, so that a row keeps its key whatever is computed again
-    texts = staging.put(rows.mapInArrow(_packed, StructType([rows.schema["key"], StructField("packed", BinaryType()), rows.schema["rest"]])), "texts")
+    texts = staging.put(rows.mapInArrow(pack, StructType([rows.schema["key"], StructField("packed", BinaryType()), rows.schema["rest"]])), "texts")
     return texts.join(repeated_strings(texts, staging, group), "key", "left").select("packed", "spans", "rest")
 
 

@@ -94,7 +94,7 @@ def test_long_texts_are_searched_by_pieces(monkeypatch):
 
     rng = random.Random(1)
     text = "".join(rng.choice("abcdef ") for _ in range(40_000))
-    batch = next(S._packed([pa.RecordBatch.from_pydict({"key": pa.array([7], pa.int64()), "text": [text]})]))
+    batch = next(S.pack([pa.RecordBatch.from_pydict({"key": pa.array([7], pa.int64()), "text": [text]})]))
     whole = [b.to_pydict() for b in S._anchors([batch])]
     monkeypatch.setattr(S, "PIECE", 5000)
     pieces = [b.to_pydict() for b in S._anchors([batch])]
