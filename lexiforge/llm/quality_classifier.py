@@ -1,22 +1,31 @@
 """Quality classifier from weak labels.
 
-1. Overlapping labellers vote on every document: fit, unfit or abstain, once
-   for the quality of the prose and once for its tone. They are heuristics on
-   shares of symbols, capitals, repeats and so on, and lexicons. One lexicon is
-   found from a bounded sample of labelled rows, if there are any: the few word
-   beginnings that cover the hostile ones and hardly occur elsewhere.
-2. The votes are counted by pattern (at most 3 to the power of the labellers,
-   whatever the corpus). Expectation-maximisation on these counts estimates how
-   often each labeller gives each vote for fit and for unfit documents, and so
-   the posterior label of each pattern.
-3. The posteriors label a bounded sample, documents with the smallest hashes of
-   their ids (SAMPLE of them, the documented bound of the fit), which trains a
-   hashed linear scorer per task.
+1. Overlapping labellers look at every document: shares of symbols, capitals,
+   repeats and so on vote fit, unfit or abstain, and lexicons count hits (none,
+   one, more). One lexicon is known beforehand; two others, disjoint from it and
+   from each other, are found from a bounded sample of labelled rows, if there are
+   any: word beginnings that cover the hostile ones and hardly occur elsewhere.
+2. The votes are counted by pattern (of which there is a fixed number, whatever
+   the corpus). Expectation-maximisation on these counts estimates how often each
+   labeller gives each vote in each class, and so the posterior of each pattern.
+   Votes are independent given the class, so each kind of fault is a class of its
+   own: noise, shouting and repetition share no labeller. For the tone the classes
+   of a third of the labelled rows, which no lexicon was made from, are known; they
+   weigh as much as the corpus. Nothing bounds the
+   rates; without labelled rows the tone keeps the rates it starts from, as one
+   lexicon alone can't tell its own accuracy.
+3. The posteriors label a bounded sample, SAMPLE rows with the smallest hashes of
+   their ids (the documented bound of the fit), which trains a hashed linear
+   scorer per task.
 4. The scorer judges every document from its whole text.
 
+Texts are read once: the pass that votes also writes the ids of each document's
+hashed features, from which the scorer is fitted and every row is scored.
+
 Defined results for odd input: null, empty and wordless texts have no evidence
-against them and are kept; repeated rows get equal rows; an empty table gives
-none; other columns don't take part.
+against them and are kept; repeated rows get equal rows, and each row, with or
+without doc_id, is judged by its own text; an empty table gives none; other
+columns don't take part.
 """
 
 from __future__ import annotations
@@ -27,13 +36,17 @@ from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+
+from .staging import Staging
 
-#: Documents that the scorer is fitted on, at most about so many.
+#: Rows that the scorer is fitted on, at most.
 SAMPLE = 8000
-#: Labelled rows from which word beginnings are taken, at most about so many.
+#: Labelled documents from which word beginnings and rates of the tone are taken, at most.
 LABELLED = 6000
 BITS = 18
 #: Insults that mark a hostile tone.
@@ -46,8 +59,8 @@ EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»
 
 
 
-STATS = ("symbols", "odd_ends", "capitals", "adjacent", "shouting", "bare_marks", "variety")
-#: Up to the first share a labeller votes fit, from the second on unfit. Variety counts the other way round.
+STATS = ("symbols", "odd_ends", "capitals", "adjacent", "shouting", "bare_marks", "variety", "exclaims", "pairs")
+#: Up to the first share a labeller votes fit, from the second on unfit. Variety and pairs count the other way round.
 LIMITS = {
     "symbols": (0.01, 0.05),
     "odd_ends": (0.02, 0.2),
@@ -56,55 +69,42 @@ LIMITS = {
     "shouting": (0.02, 0.2),
     "bare_marks": (0.05, 0.2),
     "variety": (3.0, 1.5),
+    "exclaims": (0.1, 0.5),
+    "pairs": (0.6, 0.25),
 }
 #: Words below which only symbols and odd ends are judged, and below which variety isn't.
 FEW, SOME = 8, 64
-TONE = ("insult", "insults", "learnt", "learnt_twice")
+TONE = ("insult", "learnt_a", "learnt_b")
+#: The kinds of fault and the shares that show them; three each, as fewer can't tell a rate.
+KINDS = {"noise": ("symbols", "odd_ends", "bare_marks"), "shouting": ("capitals", "shouting", "exclaims"), "repetition": ("adjacent", "variety", "pairs")}
 PREFIXES = (3, 4, 5, 6, 7, 8, 9, 10)
-#: Highest rate of unfit votes among fit documents that the label model believes of a labeller.
-FALSE_ALARM = 0.002
-
+#: Share of the hostile texts that a learnt beginning covers at least, and its share of hostile texts among those that have it.
+LEAST, PURITY = 0.01, 0.9
 
 #: Distinct words that a task remembers before it starts afresh.
-MEMO = 400_000
+MEMO = 150_000
 #: What a word can be; a word's kinds are one small number.
-ODD, UPPER, LOUD, BARE, INSULT, LEARNT, WANTED = (1 << i for i in range(7))
-
-
-class Words:
-    """Kinds of words, each found out once, and the shares of a text by kind."""
-
-    def __init__(self, learnt: frozenset[str] = frozenset()):
-        self.learnt = learnt
-        self.memo: dict[str, int] = {}
-
-    def kinds(self, word: str) -> int:
-        bare = word.strip(EDGE).lower()
-        return (
-            (ODD if not word[-1].isalnum() and word[-1] not in ".,;:!?)]}»”’\"'…" else 0)
-            | (UPPER if word.isupper() else 0)
-            | (LOUD if word.endswith("!!") else 0)
-            | (0 if bare else BARE)
-            | (INSULT if bare in INSULTS else 0)
-            | (LEARNT if self.learnt and any(bare[:k] in self.learnt for k in PREFIXES) else 0)
-        )
-
-    def tally(self, counts: Counter) -> tuple[dict[int, int], list[str]]:
-        """Words by kinds, and the words that are wanted."""
-        get, by, wanted = self.memo.get, {}, []
-        for w, c in counts.items():
-            k = get(w)
-            if k is None:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                k = self.memo[w] = self.kinds(w)
-            by[k] = by.get(k, 0) + c
-            if k & WANTED:
-                wanted.append(w)
-        return by, wanted
-
-
-def stats(text: str, words: list[str], counts: Counter, by: dict[int, int]) -> list[float]:
+ODD, UPPER, LOUD, BARE, INSULT, LEARNT_A, LEARNT_B = (1 << i for i in range(7))
+Lexicons = tuple[frozenset[str], frozenset[str]]
+NONE: Lexicons = (frozenset(), frozenset())
+
+
+def word_kinds(word: str, learnt: Lexicons = NONE) -> int:
+    bare = word.strip(EDGE).lower()
+    kinds = (
+        (ODD if not word[-1].isalnum() and word[-1] not in ".,;:!?)]}»”’\"'…" else 0)
+        | (UPPER if word.isupper() else 0)
+        | (LOUD if word.endswith("!!") else 0)
+        | (0 if bare else BARE)
+        | (INSULT if bare in INSULTS else 0)
+    )
+    for lexicon, kind in zip(learnt, (LEARNT_A, LEARNT_B), strict=True):
+        if lexicon and any(bare[:k] in lexicon for k in PREFIXES):
+            kinds |= kind
+    return kinds
+
+
+def stats(text: str, words: list[str], distinct: int, by: dict[int, int]) -> list[float]:
     """The shares that the labellers look at, in the order of STATS; -1 where the text is too short."""
     n = len(words)
     share = lambda kind: sum(c for k, c in by.items() if k & kind) / n
@@ -117,89 +117,97 @@ def stats(text: str, words: list[str], counts: Counter, by: dict[int, int]) -> l
         -1 if few else share(LOUD),
         -1 if few else share(BARE),
         # distinct words against the square root of all: long texts repeat more words
-        -1 if n < SOME else len(counts) / n**0.5,
+        -1 if n < SOME else distinct / n**0.5,
+        -1 if few else text.count("!") / n,
+        -1 if few else len(set(zip(words, words[1:], strict=False))) / (n - 1),
     ]
 
 
-class Labellers(Words):
-    """Votes of all labellers: 1 fit, -1 unfit, 0 no opinion."""
+#: A labeller has no opinion; it finds a text fit, or without hits; unfit, or with one hit; with more.
+ABSTAIN, FIT, UNFIT, MORE = "-012"
 
-    def __call__(self, text: str | None) -> list[int]:
-        words = (text or "").split()
-        if not words:
-            return [0] * (len(STATS) + len(TONE))
-        counts = Counter(words)
-        by, _ = self.tally(counts)
-        out = []
-        for name, x in zip(STATS, stats(text, words, counts, by), strict=True):
-            good, bad = LIMITS[name]
-            if x < 0:
-                out.append(0)
-            elif good < bad:
-                out.append(1 if x <= good else -1 if x >= bad else 0)
-            else:
-                out.append(1 if x >= good else -1 if x <= bad else 0)
-        hits, marked = (sum(c for k, c in by.items() if k & kind) for kind in (INSULT, LEARNT))
-        some = 1 if self.learnt else 0
-        return [*out, -1 if hits else 1, -1 if hits > 1 else 1, -1 if marked else some, -1 if marked > 1 else some]
 
+def vote(name: str, x: float) -> str:
+    good, bad = LIMITS[name]
+    if x < 0:
+        return ABSTAIN
+    if good > bad:
+        x, good, bad = -x, -good, -bad
+    return FIT if x <= good else UNFIT if x >= bad else ABSTAIN
 
-def votes(text: str | None, learnt: frozenset[str] = frozenset()) -> list[int]:
-    return Labellers(learnt)(text)
 
+def hits(by: dict[int, int], learnt: Lexicons) -> str:
+    """Votes of the lexicons."""
+    n = [sum(c for k, c in by.items() if k & kind) for kind in (INSULT, LEARNT_A, LEARNT_B)]
+    there = (True, *map(bool, learnt))
+    return "".join((FIT, UNFIT, MORE)[min(x, 2)] if t else ABSTAIN for x, t in zip(n, there, strict=True))
 
-def _beginnings(text: str | None) -> set[str]:
+
+def beginnings(text: str | None) -> set[str]:
     return {w[:k] for w in {w.strip(EDGE).lower() for w in (text or "").split()} for k in PREFIXES if len(w) >= k}
 
 
-def cover(rows: list[tuple[str | None, int]], least: float = 0.01, purity: float = 0.9) -> frozenset[str]:
-    """Word beginnings, picked greedily, that cover the hostile texts and hardly occur in the others."""
-    where: dict[str, set[int]] = {}
-    hostile = [t for t, y in rows if y]
-    for i, text in enumerate(hostile):
-        for p in _beginnings(text):
-            where.setdefault(p, set()).add(i)
-    need = max(3, least * len(hostile))
-    where = {p: at for p, at in where.items() if len(at) >= need}
-    others: Counter = Counter()
-    for text, y in rows:
-        if not y:
-            others.update(_beginnings(text) & where.keys())
-    usable = {p: at for p, at in where.items() if len(at) >= purity * (len(at) + others[p])}
-    left, out = set(range(len(hostile))), set()
-    while usable:
-        best = max(usable, key=lambda p: (len(usable[p] & left), -others[p], len(p), p))
-        if len(usable[best] & left) < need:
+def known(beginning: str) -> bool:
+    """Whether the lexicon known beforehand says the same."""
+    return any(beginning.startswith(w) or w.startswith(beginning) for w in INSULTS)
+
+
+def cover(where: dict[str, set], hostile: int, others: dict[str, int], least: float = LEAST, times: int = 2) -> Lexicons:
+    """Word beginnings, picked greedily, that cover each hostile text ``times`` times; every other one goes to either lexicon."""
+    need = max(3, least * hostile)
+    left: Counter = Counter({i: times for at in where.values() for i in at})
+    where, out = dict(where), []
+    while where:
+        best = max(where, key=lambda p: (sum(left[i] > 0 for i in where[p]), -others.get(p, 0), len(p), p))
+        new = [i for i in where[best] if left[i] > 0]
+        if len(new) < need:
             break
-        out.add(best)
-        left -= usable.pop(best)
-    return frozenset(out)
+        out.append(best)
+        left.subtract(where[best])
+        where = {p: at for p, at in where.items() if not (p.startswith(best) or best.startswith(p))}
+    return frozenset(out[::2]), frozenset(out[1::2])
 
 
-def fit_label_model(patterns: np.ndarray, weight: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
-    """(posterior of unfit for each pattern, rate[class, labeller] of unfit votes) by expectation-maximisation.
+def label_model(votes: np.ndarray, weight: np.ndarray, rate: np.ndarray, prior: np.ndarray, known: np.ndarray | None = None, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """(posterior[pattern, class], rate[class, labeller, vote]) by expectation-maximisation.
 
-    Votes are independent given the class, and no opinion says nothing. What is
-    known beforehand bounds the rates: a labeller is better than chance, and each
-    finds only some faults, so a fit vote says less than an unfit one.
+    ``votes`` holds a pattern a row, -1 for no opinion, which says nothing;
+    ``weight`` how many documents have it; ``rate`` and ``prior`` where to start;
+    ``known`` how many labelled documents of each class have it. Half a document
+    is added to each count, so that no rate is 0.
     """
-    k = patterns.shape[1]
-    rate = np.empty((2, k))
-    rate[0], rate[1] = FALSE_ALARM, 0.4
-    prior = 0.1
-    bad, good = patterns == -1, patterns == 1
-    posterior = np.zeros(len(patterns))
+    one = np.stack([votes == v for v in range(rate.shape[2])], axis=2).astype(np.float64)
+    share = 0.0 if known is None or not known.sum() else weight.sum() / known.sum() * known
+    posterior = np.zeros((len(votes), len(prior)))
     for _ in range(rounds):
-        fit, unfit = (np.log(p) + bad @ np.log(r) + good @ np.log(1 - r) for p, r in ((1 - prior, rate[0]), (prior, rate[1])))
-        posterior = 1 / (1 + np.exp(np.clip(fit - unfit, -50, 50)))
-        for c, share in ((0, (1 - posterior) * weight), (1, posterior * weight)):
-            rate[c] = (share @ bad + 0.1) / (share @ (bad | good) + 0.2)
-        rate[0] = np.clip(rate[0], 1e-4, FALSE_ALARM)
-        rate[1] = np.clip(rate[1], 0.2, 0.99)
-        prior = float(np.clip((posterior * weight).sum() / max(weight.sum(), 1), 1e-3, 0.5))
+        score = np.log(prior) + np.einsum("pkv,ckv->pc", one, np.log(rate))
+        score = np.exp(score - score.max(axis=1, keepdims=True)) if len(votes) else score
+        posterior = score / score.sum(axis=1, keepdims=True)
+        mass = posterior * weight[:, None] + share
+        counts = np.einsum("pc,pkv->ckv", mass, one) + 0.5
+        new, prior = counts / counts.sum(axis=2, keepdims=True), mass.sum(axis=0) + 0.5
+        prior, moved, rate = prior / prior.sum(), np.abs(new - rate).max(), new
+        if moved < 1e-9:
+            break
     return posterior, rate
 
 
+def quality_posterior(votes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The posterior of any fault; a class for fit documents and one for each kind of fault."""
+    rate = np.full((1 + len(KINDS), len(STATS), 2), 0.01)
+    for c, shown in enumerate(KINDS.values(), 1):
+        rate[c, [STATS.index(x) for x in shown], 1] = 0.5
+    rate[:, :, 0] = 1 - rate[:, :, 1]
+    return 1 - label_model(votes, weight, rate, np.array([0.7, 0.1, 0.1, 0.1]))[0][:, 0]
+
+
+def tone_posterior(votes: np.ndarray, weight: np.ndarray, labelled: np.ndarray) -> np.ndarray:
+    """The posterior of a hostile tone."""
+    rate = np.array([[[0.98, 0.015, 0.005]] * len(TONE), [[0.4, 0.2, 0.4]] * len(TONE)])
+    rounds = 200 if labelled.sum() else 1
+    return label_model(votes, weight, rate, np.array([0.9, 0.1]), labelled, rounds)[0][:, 1]
+
+
 # -- the hashed linear scorer ----------------------------------------------------
 
 
@@ -208,44 +216,60 @@ def _step(kind: str, value: str) -> int:
     return (1 << (BITS - 1)) + (zlib.crc32(f"{kind}:{value}".encode()) >> (33 - BITS))
 
 
-class Features(Words):
-    """Hashed features: words and word beginnings for the tone, steps of the shares for the quality.
+def word_ids(word: str) -> bytes:
+    """Ids of a word and its beginnings, in the lower half."""
+    raw = word.strip(EDGE).lower().encode("utf-8", "replace")
+    # one running checksum gives the beginnings of 3 to 12 bytes, and with an end mark the word
+    crc = zlib.crc32(raw[:3])
+    ids = [crc] if len(raw) >= 3 else []
+    for i in range(3, min(len(raw), 12)):
+        crc = zlib.crc32(raw[i : i + 1], crc)
+        ids.append(crc)
+    ids.append(zlib.crc32(raw[12:] + b"$", crc))
+    return (np.array(ids, np.uint32) >> np.uint32(33 - BITS)).tobytes()
 
-    The lower half of the ids belongs to words, the upper to shares. With
-    ``wanted`` only those ids are given, which few words have.
-    """
 
-    def __init__(self, wanted: frozenset[int] | None = None):
-        super().__init__()
-        self.wanted = wanted
-
-    def of(self, word: str) -> set[int]:
-        raw = word.strip(EDGE).lower().encode("utf-8", "replace")
-        # one running checksum gives the beginnings of 3 to 12 bytes, and with an end mark the word
-        crc = zlib.crc32(raw[:3])
-        ids = [crc] if len(raw) >= 3 else []
-        for i in range(3, min(len(raw), 12)):
-            crc = zlib.crc32(raw[i : i + 1], crc)
-            ids.append(crc)
-        ids.append(zlib.crc32(raw[12:] + b"$", crc))
-        half = {i >> (33 - BITS) for i in ids}
-        return half if self.wanted is None else half & self.wanted
-
-    def kinds(self, word: str) -> int:
-        return super().kinds(word) | (WANTED if self.wanted is None or self.of(word) else 0)
-
-    def __call__(self, text: str | None) -> list[int]:
+class Reader:
+    """Votes and hashed features of texts: words and word beginnings for the tone, steps of the shares for the quality."""
+
+    def __init__(self, learnt: Lexicons = NONE):
+        self.learnt = learnt
+        self.memo: dict[str, tuple[int, bytes]] = {}
+
+    def __call__(self, text: str | None) -> tuple[str, np.ndarray]:
+        """The pattern of votes, and the distinct ids in ascending order."""
         words = (text or "").split()
         if not words:
-            return []
-        counts = Counter(words)
-        by, wanted = self.tally(counts)
-        out = {i for w in wanted for i in self.of(w)}
-        for name, x in zip(STATS, stats(text, words, counts, by), strict=True):
+            return ABSTAIN * (len(STATS) + len(TONE)), np.zeros(0, np.uint32)
+        counts, by, ids = Counter(words), {}, []
+        for w, c in counts.items():
+            found = self.memo.get(w)
+            if found is None:
+                if len(self.memo) >= MEMO:
+                    self.memo.clear()
+                found = self.memo[w] = (word_kinds(w, self.learnt), word_ids(w))
+            by[found[0]] = by.get(found[0], 0) + c
+            ids.append(found[1])
+        pattern, steps = [], []
+        for name, x in zip(STATS, stats(text, words, len(counts), by), strict=True):
+            pattern.append(vote(name, x))
             good, bad = LIMITS[name]
-            step = "none" if x < 0 else min(5, max(-1, int(4 * (x - good) / (bad - good))))
-            out.add(_step(name, str(step)))
-        return list(out)
+            steps.append(_step(name, "none" if x < 0 else str(min(5, max(-1, int(4 * (x - good) / (bad - good)))))))
+        ids.append(np.array(steps, np.uint32).tobytes())
+        return "".join(pattern) + hits(by, self.learnt), np.unique(np.frombuffer(b"".join(ids), np.uint32))
+
+
+def votes(text: str | None, learnt: Lexicons = NONE) -> str:
+    return Reader(learnt)(text)[0]
+
+
+def packed(ids: np.ndarray) -> bytes:
+    """Ascending ids as steps, which compress well."""
+    return np.diff(ids, prepend=np.uint32(0)).astype("<u4").tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, "<u4"), dtype=np.int64)
 
 
 def train(rows: list[np.ndarray], target: np.ndarray, family: slice, rounds: int = 300, screen: float = 5.0, most: int = 4096) -> np.ndarray:
@@ -285,89 +309,133 @@ def train(rows: list[np.ndarray], target: np.ndarray, family: slice, rounds: int
     return out
 
 
-def _votes(learnt: frozenset[str]):
+def _read(learnt: Lexicons):
+    """(text, rest) -> (pattern, ids, rest)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label = Labellers(learnt)
+        read = Reader(learnt)
         for batch in batches:
-            pattern = ["".join("-0+"[v + 1] for v in label(t)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(pattern, pa.string())], names=["pattern"])
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                found = [read(t) for t in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p for p, _ in found], pa.string()), pa.array([packed(i) for _, i in found], pa.binary()), part.column(1)], names=["pattern", "ids", "rest"]
+                )
 
     return run
 
 
-def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = [(t, y) for b in batches for t, y in sorted(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), key=str)]
-    yield pa.RecordBatch.from_pydict({"learnt": pa.array([sorted(cover(rows))], pa.list_(pa.string()))})
+def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for doc_id, text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = sorted(b for b in beginnings(text) if not known(b))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([doc_id] * len(found), pa.int64()), pa.array([toxic] * len(found), pa.int64()), pa.array(found, pa.string())], names=["doc_id", "toxic", "beginning"]
+            )
 
 
-def _fit(posterior: dict[str, tuple[float, float]], learnt: frozenset[str]):
-    """All sampled texts, in one task (their number is bounded) -> the weights."""
+def _fit(posterior: dict[str, tuple[float, float]]):
+    """All sampled rows, in one task (their number is bounded) -> the weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, label, rows = Features(), Labellers(learnt), []
+        rows = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                pattern = "".join("-0+"[v + 1] for v in label(text))
-                rows.append((doc_id or 0, np.array(features(text), np.int32), posterior.get(pattern, (0.0, 0.0))))
-        rows.sort(key=lambda r: r[0])
+            for pattern, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows.append((ids, posterior.get(pattern, (0.0, 0.0))))
+        rows.sort()
+        ids = [unpacked(r[0]) for r in rows]
         half = 1 << (BITS - 1)
         family = (slice(half, 2 * half), slice(0, half))
-        weights = [train([r[1] for r in rows], np.array([r[2][k] for r in rows]), family[k]) for k in (0, 1)]
+        weights = [train(ids, np.array([r[1][k] for r in rows]), family[k]) for k in (0, 1)]
         yield pa.RecordBatch.from_pydict({"weights": pa.array([np.stack(weights).tobytes()], pa.binary())})
 
     return run
 
 
 def _score(held):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The two scores of a row as a function of its packed ids."""
+    @F.pandas_udf("unfit double, hostile double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         weights = np.frombuffer(held.value).reshape(2, -1)
-        used = frozenset(np.flatnonzero(weights[:, :-1].any(axis=0)).tolist())
-        features = Features(used)
-        for batch in batches:
-            z = np.zeros((batch.num_rows, 2))
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = features(text)
-                z[i] = weights[:, ids].sum(axis=1) + weights[:, -1]
+        for ids in batches:
+            z = np.zeros((len(ids), 2))
+            for i, raw in enumerate(ids):
+                z[i] = weights[:, unpacked(raw)].sum(axis=1) + weights[:, -1]
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(p[:, 0]), pa.array(p[:, 1])], names=["doc_id", "unfit", "hostile"])
+            yield pd.DataFrame({"unfit": p[:, 0], "hostile": p[:, 1]})
 
-    return run
+    return score
 
 
-def _first(df: DataFrame, rows: int, total: int, salt: int) -> DataFrame:
-    """About ``rows`` of ``total`` rows: those with the smallest hashes of their ids."""
-    share = min(1.0, rows / max(1, total))
-    return df.where(F.xxhash64(F.lit(salt), "doc_id") <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
+def _some(df: DataFrame, rows: int, total: int, salt: int) -> DataFrame:
+    """The ``rows`` rows with the smallest hashes of doc_id; first a share that surely holds them."""
+    order = F.xxhash64(F.lit(salt), "doc_id")
+    share = min(1.0, (rows + 6 * rows**0.5) / max(1, total))
+    near = df.where(order <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
+    return near.orderBy(order, *df.columns).limit(rows)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
-    """``doc_id, unfit, hostile, kept`` for each row of ``docs`` (doc_id, text).
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, text, toxic`` of the bounded sample of labelled documents, a row for each doc_id."""
+    rows = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"))
+    some = _some(rows, LABELLED, rows.count(), 5).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(some, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
-    ``labels`` (doc_id, toxic), if given, serve to find the lexicon of word beginnings and nothing else.
-    """
-    texts, spark = docs.select("doc_id", "text"), docs.sparkSession
-    learnt: frozenset[str] = frozenset()
+
+def learn(sample: DataFrame) -> Lexicons:
+    """The lexicons of word beginnings; what reaches the driver is bounded by LABELLED rows."""
+    hostile = sample.where("toxic = 1").count()
+    found = sample.select("doc_id", "text", "toxic").mapInArrow(_beginnings, "doc_id long, toxic long, beginning string")
+    by = found.groupBy("beginning").agg(F.sum("toxic").alias("n"), F.count(F.lit(1)).alias("all"), F.collect_list(F.when(F.col("toxic") == 1, F.col("doc_id"))).alias("at"))
+    usable = by.where((F.col("n") >= max(3, LEAST * hostile)) & (F.col("n") >= PURITY * F.col("all"))).collect()
+    return cover({r["beginning"]: set(r["at"]) for r in usable}, hostile, {r["beginning"]: r["all"] - r["n"] for r in usable})
+
+
+def _judged(docs: DataFrame, labels: DataFrame | None, rest: Column, sample: int) -> DataFrame:
+    """``unfit, hostile, kept, rest`` for each row of ``docs``."""
+    spark = docs.sparkSession
+    staging = Staging(spark, "quality")
+    learnt, known_tone = NONE, None
     if labels is not None:
-        some = _first(labels.where("toxic is not null").select("doc_id", "toxic"), LABELLED, labels.count(), 5)
-        found = texts.join(some, "doc_id").select("text", "toxic").repartition(1).mapInArrow(_cover, "learnt array<string>").collect()
-        learnt = frozenset(x for r in found for x in r["learnt"])
-    counted = texts.select("text").mapInArrow(_votes(learnt), "pattern string").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(r["n"] for r in counted)
-    kinds = [tuple("-0+".index(c) - 1 for c in r["pattern"]) for r in counted]
-    patterns = np.array(kinds, np.int64).reshape(len(kinds), len(STATS) + len(TONE))
+        rows = staging.put(_labelled(docs, labels), "labelled")
+        # found on two thirds and judged on the rest, as rates on the rows that a lexicon was made for would flatter it
+        third = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(3)) == 0
+        learnt = learn(rows.where(~third))
+        told = rows.where(third).select("text", F.struct("toxic").alias("rest")).mapInArrow(_read(learnt), "pattern string, ids binary, rest struct<toxic:bigint>")
+        known_tone = {r["tone"]: (r["n"] - r["toxic"], r["toxic"]) for r in told.groupBy(F.right("pattern", F.lit(len(TONE))).alias("tone")).agg(F.count(F.lit(1)).alias("n"), F.sum("rest.toxic").alias("toxic")).collect()}
+        staging.drop("labelled")
+    source = docs.select("text", rest.alias("rest"))
+    schema = StructType([StructField("pattern", StringType()), StructField("ids", BinaryType()), source.schema["rest"]])
+    read = staging.put(source.mapInArrow(_read(learnt), schema), "read")
+    counted = read.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()
+    patterns = np.array([["-012".index(c) - 1 for c in r["pattern"]] for r in counted], np.int64).reshape(len(counted), len(STATS) + len(TONE))
     weight = np.array([r["n"] for r in counted], np.float64)
-    split = len(STATS)
-    unfit, _ = fit_label_model(patterns[:, :split], weight)
-    hostile, _ = fit_label_model(patterns[:, split:], weight)
-    posterior = {r["pattern"]: (float(a), float(b)) for r, a, b in zip(counted, unfit, hostile, strict=True)}
-    fitted = _first(texts, sample, total, 7).repartition(1).mapInArrow(_fit(posterior, learnt), "weights binary").collect()
+    unfit = quality_posterior(patterns[:, : len(STATS)], weight)
+    # patterns of the tone, with the labelled rows that have them
+    tones = sorted({r["pattern"][len(STATS) :] for r in counted} | set(known_tone or ()))
+    tone_weight = np.array([sum(r["n"] for r in counted if r["pattern"].endswith(t)) for t in tones], np.float64)
+    tone_known = np.array([(known_tone or {}).get(t, (0, 0)) for t in tones], np.float64).reshape(len(tones), 2)
+    tone_votes = np.array([["-012".index(c) - 1 for c in t] for t in tones], np.int64).reshape(len(tones), len(TONE))
+    hostile = dict(zip(tones, tone_posterior(tone_votes, tone_weight, tone_known).tolist(), strict=True))
+    posterior = {r["pattern"]: (float(x), hostile[r["pattern"][len(STATS) :]]) for r, x in zip(counted, unfit, strict=True)}
+    some = _some(read.select(F.col("rest.doc_id").alias("doc_id"), "pattern", "ids"), sample, int(weight.sum()), 7)
+    fitted = some.select("pattern", "ids").repartition(1).mapInArrow(_fit(posterior), "weights binary").collect()
     weights = fitted[0]["weights"] if fitted else np.zeros((2, (1 << BITS) + 1)).tobytes()
     held = spark.sparkContext.broadcast(weights)  # 4 MB, fixed by BITS
-    scored = texts.mapInArrow(_score(held), "doc_id long, unfit double, hostile double")
+    scored = read.select("rest", _score(held)("ids").alias("p")).select("p.*", "rest")
     return scored.withColumn("kept", (F.col("unfit") < 0.5) & (F.col("hostile") < 0.5))
 
 
+def quality_scores(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
+    """``doc_id, unfit, hostile, kept`` for each row of ``docs`` (doc_id, text).
+
+    ``labels`` (doc_id, toxic), if given, serve for the lexicons of word beginnings and the rates of the tone, and nothing else.
+    """
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"))
+    return _judged(docs.select("doc_id", "text"), labels, own, sample).select("rest.doc_id", "unfit", "hostile", "kept")
+
+
 def keep_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns unchanged."""
-    rejected = quality_scores(docs, labels).where("not kept").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    kept = _judged(docs, labels, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), SAMPLE).where("kept")
+    return kept.select(*[F.col("rest").getField(c).alias(c) for c in docs.columns])
