@@ -14,8 +14,8 @@
    weigh as much as the corpus. Nothing bounds the
    rates; without labelled rows the tone keeps the rates it starts from, as one
    lexicon alone can't tell its own accuracy.
-3. The posteriors label a bounded sample, SAMPLE rows with the smallest hashes of
-   their ids (the documented bound of the fit), which trains a hashed linear
+3. The posteriors label a bounded sample, SAMPLE rows with the smallest hashes
+   (the documented bound of the fit), which trains a hashed linear
    scorer per task.
 4. The scorer judges every document from its whole text.
 
@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from .shingles import _powers, mix
 from .staging import Staging
 
 #: Rows that the scorer is fitted on, at most.
@@ -81,27 +82,38 @@ PREFIXES = (3, 4, 5, 6, 7, 8, 9, 10)
 #: Share of the hostile texts that a learnt beginning covers at least, and its share of hostile texts among those that have it.
 LEAST, PURITY = 0.01, 0.9
 
-#: Distinct words that a task remembers before it starts afresh.
-MEMO = 150_000
+#: Texts read together.
+TOGETHER = 256
+LETTER = np.random.default_rng(0xC1A55).integers(1, 2**63, 256, dtype=np.uint64)
 #: What a word can be; a word's kinds are one small number.
 ODD, UPPER, LOUD, BARE, INSULT, LEARNT_A, LEARNT_B = (1 << i for i in range(7))
 Lexicons = tuple[frozenset[str], frozenset[str]]
 NONE: Lexicons = (frozenset(), frozenset())
 
 
-def word_kinds(word: str, learnt: Lexicons = NONE) -> int:
-    bare = word.strip(EDGE).lower()
-    kinds = (
-        (ODD if not word[-1].isalnum() and word[-1] not in ".,;:!?)]}»”’\"'…" else 0)
-        | (UPPER if word.isupper() else 0)
-        | (LOUD if word.endswith("!!") else 0)
-        | (0 if bare else BARE)
-        | (INSULT if bare in INSULTS else 0)
-    )
-    for lexicon, kind in zip(learnt, (LEARNT_A, LEARNT_B), strict=True):
-        if lexicon and any(bare[:k] in lexicon for k in PREFIXES):
-            kinds |= kind
-    return kinds
+class Kinds:
+    """What words can be, as one small number each."""
+
+    def __init__(self, learnt: Lexicons):
+        self.lexicons = [(x, kind) for x, kind in zip(learnt, (LEARNT_A, LEARNT_B), strict=True) if x]
+        shortest = min(PREFIXES)
+        self.gate = frozenset(p[:shortest] for x, _ in self.lexicons for p in x)
+        self.shortest = shortest
+
+    def of(self, word: str, bare: str) -> int:
+        """``bare`` is the word in lower case without the signs at its ends."""
+        kinds = (
+            (ODD if not word[-1].isalnum() and word[-1] not in ".,;:!?)]}»”’\"'…" else 0)
+            | (UPPER if word.isupper() else 0)
+            | (LOUD if word.endswith("!!") else 0)
+            | (0 if bare else BARE)
+            | (INSULT if bare in INSULTS else 0)
+        )
+        if bare[: self.shortest] in self.gate:
+            for lexicon, kind in self.lexicons:
+                if any(bare[:k] in lexicon for k in PREFIXES):
+                    kinds |= kind
+        return kinds
 
 
 def stats(text: str, words: list[str], distinct: int, by: dict[int, int]) -> list[float]:
@@ -216,56 +228,70 @@ def _step(kind: str, value: str) -> int:
     return (1 << (BITS - 1)) + (zlib.crc32(f"{kind}:{value}".encode()) >> (33 - BITS))
 
 
-def word_ids(word: str) -> bytes:
-    """Ids of a word and its beginnings, in the lower half."""
-    raw = word.strip(EDGE).lower().encode("utf-8", "replace")
-    # one running checksum gives the beginnings of 3 to 12 bytes, and with an end mark the word
-    crc = zlib.crc32(raw[:3])
-    ids = [crc] if len(raw) >= 3 else []
-    for i in range(3, min(len(raw), 12)):
-        crc = zlib.crc32(raw[i : i + 1], crc)
-        ids.append(crc)
-    ids.append(zlib.crc32(raw[12:] + b"$", crc))
-    return (np.array(ids, np.uint32) >> np.uint32(33 - BITS)).tobytes()
+def word_ids(bares: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the word, id) of words and their beginnings of 3 to 12 bytes, in the lower half."""
+    raw = "\0".join([*bares, ""]).encode("utf-8", "replace")
+    buf = np.frombuffer(raw, np.uint8)
+    stop = np.flatnonzero(buf == 0)
+    start = np.concatenate([[0], stop[:-1] + 1])
+    size = stop - start
+    up, down = _powers(len(buf) + 1)
+    who, ids = [], []
+    with np.errstate(over="ignore"):
+        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(LETTER[buf] * up[: len(buf)])])
+        for k in (*range(3, 13), 0):
+            own = np.flatnonzero(size >= k)
+            at = start[own]
+            end = at + k if k else stop[own]
+            ids.append(mix((run[end] - run[at]) * down[at] + np.uint64(k)) >> np.uint64(65 - BITS))
+            who.append(own)
+    return np.concatenate(who), np.concatenate(ids).astype(np.int64)
 
 
 class Reader:
     """Votes and hashed features of texts: words and word beginnings for the tone, steps of the shares for the quality."""
 
     def __init__(self, learnt: Lexicons = NONE):
-        self.learnt = learnt
-        self.memo: dict[str, tuple[int, bytes]] = {}
-
-    def __call__(self, text: str | None) -> tuple[str, np.ndarray]:
-        """The pattern of votes, and the distinct ids in ascending order."""
-        words = (text or "").split()
-        if not words:
-            return ABSTAIN * (len(STATS) + len(TONE)), np.zeros(0, np.uint32)
-        counts, by, ids = Counter(words), {}, []
-        for w, c in counts.items():
-            found = self.memo.get(w)
-            if found is None:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                found = self.memo[w] = (word_kinds(w, self.learnt), word_ids(w))
-            by[found[0]] = by.get(found[0], 0) + c
-            ids.append(found[1])
-        pattern, steps = [], []
-        for name, x in zip(STATS, stats(text, words, len(counts), by), strict=True):
-            pattern.append(vote(name, x))
-            good, bad = LIMITS[name]
-            steps.append(_step(name, "none" if x < 0 else str(min(5, max(-1, int(4 * (x - good) / (bad - good)))))))
-        ids.append(np.array(steps, np.uint32).tobytes())
-        return "".join(pattern) + hits(by, self.learnt), np.unique(np.frombuffer(b"".join(ids), np.uint32))
+        self.learnt, self.kinds = learnt, Kinds(learnt)
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, np.ndarray]]:
+        """For each text the pattern of votes, and the distinct ids in ascending order."""
+        patterns, bares, own, steps = [], [], [], []
+        for i, text in enumerate(texts):
+            text = (text or "").replace("\0", " ")
+            words = text.split()
+            if not words:
+                patterns.append(ABSTAIN * (len(STATS) + len(TONE)))
+                own.append(0)
+                continue
+            counts, by = Counter(words), {}
+            for w, c in counts.items():
+                bare = w.strip(EDGE).lower()
+                bares.append(bare)
+                kinds = self.kinds.of(w, bare)
+                by[kinds] = by.get(kinds, 0) + c
+            own.append(len(counts))
+            pattern = []
+            for name, x in zip(STATS, stats(text, words, len(counts), by), strict=True):
+                pattern.append(vote(name, x))
+                good, bad = LIMITS[name]
+                steps.append((i << BITS) + _step(name, "none" if x < 0 else str(min(5, max(-1, int(4 * (x - good) / (bad - good)))))))
+            patterns.append("".join(pattern) + hits(by, self.learnt))
+        who, ids = word_ids(bares)
+        text_of = np.repeat(np.arange(len(texts)), own)
+        every = np.unique(np.concatenate([(text_of[who] << BITS) + ids, np.array(steps, np.int64)]))
+        edge = np.searchsorted(every, np.arange(len(texts) + 1) << BITS)
+        every &= (1 << BITS) - 1
+        return [(p, every[lo:hi]) for p, lo, hi in zip(patterns, edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
 
 
 def votes(text: str | None, learnt: Lexicons = NONE) -> str:
-    return Reader(learnt)(text)[0]
+    return Reader(learnt)([text])[0][0]
 
 
 def packed(ids: np.ndarray) -> bytes:
     """Ascending ids as steps, which compress well."""
-    return np.diff(ids, prepend=np.uint32(0)).astype("<u4").tobytes()
+    return np.diff(ids, prepend=0).astype("<u4").tobytes()
 
 
 def unpacked(raw: bytes) -> np.ndarray:
@@ -315,9 +341,9 @@ def _read(learnt: Lexicons):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = Reader(learnt)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                found = [read(t) for t in part.column(0).to_pylist()]
+            for lo in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(lo, TOGETHER)
+                found = read(part.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p for p, _ in found], pa.string()), pa.array([packed(i) for _, i in found], pa.binary()), part.column(1)], names=["pattern", "ids", "rest"]
                 )
@@ -368,8 +394,8 @@ def _score(held):
 
 
 def _some(df: DataFrame, rows: int, total: int, salt: int) -> DataFrame:
-    """The ``rows`` rows with the smallest hashes of doc_id; first a share that surely holds them."""
-    order = F.xxhash64(F.lit(salt), "doc_id")
+    """The ``rows`` rows with the smallest hashes; first a share that holds about as many and a few more."""
+    order = F.xxhash64(F.lit(salt), *df.columns)
     share = min(1.0, (rows + 6 * rows**0.5) / max(1, total))
     near = df.where(order <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
     return near.orderBy(order, *df.columns).limit(rows)
