@@ -1,93 +1,95 @@
-"""A small DOM on the standard library's parser.
+"""Pages as flat outlines, on the standard library's parser.
 
+Elements are numbered in document order, so what is below an element is a range
+of numbers, and its text a range of strings; sizes come from running sums.
 Elements nest as they are written: only an end tag closes an element, together
 with all that are open inside it; an end tag without a start is ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
+from itertools import accumulate
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose strings are no text.
+SILENT = frozenset(["script", "style", "template"])
 
 
-class Element:
-    __slots__ = ("name", "attrs", "children", "parent")
-
-    def __init__(self, name: str, attrs: dict[str, str], parent: Element | None):
-        self.name, self.attrs, self.children, self.parent = name, attrs, [], parent
-
-    def descendants(self) -> Iterator[Element]:
-        """Elements below, in document order, without recursion."""
-        stack = [iter(self.children)]
-        while stack:
-            for x in stack[-1]:
-                if isinstance(x, Element):
-                    yield x
-                    stack.append(iter(x.children))
-                    break
-            else:
-                stack.pop()
-
-    def strings(self) -> Iterator[str]:
-        """Text below in document order, scripts and styles aside."""
-        stack = [iter(self.children)]
-        while stack:
-            for x in stack[-1]:
-                if isinstance(x, str):
-                    yield x
-                elif x.name not in ("script", "style", "template"):
-                    stack.append(iter(x.children))
-                    break
-            else:
-                stack.pop()
-
-    def text(self, join: str = "") -> str:
-        """Stripped strings joined, empty ones left out."""
-        return join.join(s for s in map(str.strip, self.strings()) if s)
-
-    def find_all(self, *names: str) -> list[Element]:
-        return [e for e in self.descendants() if not names or e.name in names]
-
-    def find(self, *names: str) -> Element | None:
-        return next((e for e in self.descendants() if e.name in names), None)
-
-    def ancestors(self) -> Iterator[Element]:
-        e = self.parent
-        while e is not None:
-            yield e
-            e = e.parent
+class Outline:
+    """Element ``i`` (0 is the page) has the elements ``i + 1 .. end[i] - 1`` and the strings ``first[i] .. last[i] - 1`` below it."""
 
-    def remove(self) -> None:
-        if self.parent is not None:
-            self.parent.children = [c for c in self.parent.children if c is not self]
-            self.parent = None
-
-    def attached(self, root: Element) -> bool:
-        e = self
-        while e.parent is not None:
-            e = e.parent
-        return e is root
+    def __init__(self):
+        self.name, self.attrs, self.parent = ["#root"], [{}], [0]
+        self.first, self.last, self.end = [0], [0], [0]
+        self.strings: list[str] = []
+        self.owner: list[int] = []
+        self.gone: list[bool] = []
+        self.chars = self.words = [0]
+
+    def close(self) -> Outline:
+        """Strings are stripped and the sums made; call it when all is read."""
+        self.strings = [s.strip() for s in self.strings]
+        self.gone = [False] * len(self.name)
+        self._sum()
+        return self
+
+    def _sum(self) -> None:
+        quiet = [False] * len(self.name)
+        for i in range(1, len(quiet)):
+            quiet[i] = quiet[self.parent[i]] or self.gone[i] or self.name[i] in SILENT
+        self.strings = ["" if quiet[o] else s for s, o in zip(self.strings, self.owner, strict=True)]
+        self.chars = list(accumulate(map(len, self.strings), initial=0))
+        self.words = list(accumulate((len(s.split()) for s in self.strings), initial=0))
+
+    def remove(self, unwanted: Callable[[int], bool]) -> None:
+        """Takes out the elements that are unwanted as the page stands now, with all below them."""
+        marked = [not g and i > 0 and unwanted(i) for i, g in enumerate(self.gone)]
+        for i in range(1, len(marked)):
+            self.gone[i] = self.gone[i] or marked[i] or self.gone[self.parent[i]]
+        self._sum()
+
+    def below(self, i: int = 0) -> Iterator[int]:
+        """Elements below that are still there, in document order."""
+        return (k for k in range(i + 1, self.end[i]) if not self.gone[k])
+
+    def named(self, names: Iterable[str], i: int = 0) -> Iterator[int]:
+        return (k for k in self.below(i) if self.name[k] in names)
+
+    def size(self, i: int) -> int:
+        """Length of the text without joints."""
+        return self.chars[self.last[i]] - self.chars[self.first[i]]
+
+    def count(self, i: int) -> int:
+        """Words of the text."""
+        return self.words[self.last[i]] - self.words[self.first[i]]
+
+    def text(self, i: int = 0, join: str = "") -> str:
+        """Stripped strings joined, empty ones left out."""
+        return join.join(filter(None, self.strings[self.first[i] : self.last[i]]))
 
-    def marks(self) -> str:
+    def marks(self, i: int) -> str:
         """Class and id in lower case."""
-        return f"{' '.join((self.attrs.get('class') or '').split())} {self.attrs.get('id') or ''}".lower()
+        a = self.attrs[i]
+        return f"{' '.join((a.get('class') or '').split())} {a.get('id') or ''}".lower()
 
 
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Element("#root", {}, None)
+        self.page, self.open = Outline(), [0]
 
     def handle_starttag(self, tag, attrs):
-        kept: dict[str, str] = {}
-        for k, v in attrs:
-            kept[k] = v or ""
-        e = Element(tag, kept, self.at)
-        self.at.children.append(e)
+        page = self.page
+        page.name.append(tag)
+        page.attrs.append({k: v or "" for k, v in attrs})
+        page.parent.append(self.open[-1])
+        page.first.append(len(page.strings))
+        page.last.append(len(page.strings))
+        page.end.append(len(page.name))
         if tag not in VOID:
-            self.at = e
+            self.open.append(len(page.name) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -95,19 +97,25 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        e = self.at
-        while e.parent is not None and e.name != tag:
-            e = e.parent
-        if e.parent is not None:
-            self.at = e.parent
+        at = next((n for n in range(len(self.open) - 1, 0, -1) if self.page.name[self.open[n]] == tag), None)
+        if at is not None:
+            self.shut(at)
+
+    def shut(self, at: int) -> None:
+        """Closes the open elements from the ``at``-th on."""
+        for i in self.open[at:]:
+            self.page.last[i], self.page.end[i] = len(self.page.strings), len(self.page.name)
+        del self.open[at:]
 
     def handle_data(self, data):
-        self.at.children.append(data)
+        self.page.strings.append(data)
+        self.page.owner.append(self.open[-1])
 
 
-def parse(source: str | None) -> Element:
-    """The root of the tree; comments and declarations are left out."""
+def parse(source: str | None) -> Outline:
+    """The outline of a page; comments and declarations are left out."""
     b = _Builder()
     b.feed(source or "")
     b.close()
-    return b.root
+    b.shut(0)
+    return b.page.close()

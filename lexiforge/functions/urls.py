@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from urllib.parse import urljoin
+from urllib.parse import urljoin, urlparse
 
 import pandas as pd
 from pyspark.sql import Column
@@ -57,19 +57,28 @@ def is_subpage(url: Column, base: Column) -> Column:
     return (netloc(url) == netloc(base)) & (netloc(url) != "") & below.startswith(F.concat(above, F.lit("/"))) & (below != above)
 
 
+def link_kind(url: Column, base: Column) -> Column:
+    """``pdf``, ``external``, ``internal`` (a page below the base), or null for other pages of the site."""
+    return F.when(mentions_pdf(url), "pdf").when((netloc(url) != "") & (netloc(url) != netloc(base)), "external").when(is_subpage(url, base), "internal")
+
+
 def cache_name(parent_id: Column, url: Column) -> Column:
     """File name under which a linked document is kept."""
     return F.concat(parent_id.cast("string"), F.lit("_"), F.substring(F.md5(url), 1, 10), F.lit(".pdf"))
 
 
+def absolute(base: str, href: str) -> str | None:
+    """A link's target on a page, or null if it is no address."""
+    try:
+        url = urljoin(base, href)
+        urlparse(url)
+    except ValueError:
+        return None
+    return url
+
+
 @F.pandas_udf(StringType())
 def resolve(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Absolute form of a link on a page; there is no built-in resolver."""
+    """``absolute`` on columns; there is no built-in resolver."""
     for base, href in batches:
-        out = []
-        for b, h in zip(base, href, strict=True):
-            try:
-                out.append(urljoin(b or "", h or ""))
-            except ValueError:
-                out.append(h)
-        yield pd.Series(out, dtype=object)
+        yield pd.Series([absolute(b or "", h or "") for b, h in zip(base, href, strict=True)], dtype=object)

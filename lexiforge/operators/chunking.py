@@ -25,27 +25,39 @@ def units(texts: Column) -> Column:
     return F.transform(texts, lambda x: F.struct(x.alias("text"), T.approx_tokens(x).alias("tokens")))
 
 
-def greedy_pack(sized: Column, threshold: int) -> Column:
-    """Groups of consecutive units whose tokens stay within the threshold; a larger unit stands alone.
+def runs(items: Column, starts: Column) -> Column:
+    """Consecutive items cut before the positions ``starts``, of which 0 is the first."""
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(items)))
+    return F.transform(F.arrays_zip(starts.alias("lo"), ends.alias("hi")), lambda r: F.slice(items, r["lo"] + 1, r["hi"] - r["lo"]))
 
-    ``sized``: array of (text, tokens). Returns an array of arrays of them.
+
+def packed(items: Column, tokens, threshold: int, alone=None) -> Column:
+    """Runs of items whose ``tokens`` stay within the threshold; a larger item, or one that is ``alone``, is a run of its own.
+
+    The fold carries positions and a count, so no item is copied before the runs are cut.
     """
-    empty = F.struct(
-        F.array().cast(f"array<array<{UNIT}>>").alias("done"), F.array().cast(f"array<{UNIT}>").alias("open"), F.lit(0).alias("tokens")
-    )
+    alone = alone or (lambda x: F.lit(False))
+    none = F.array().cast("array<int>")
+    # tokens is null after an item that stands alone
+    empty = F.struct(none.alias("starts"), F.lit(None).cast("int").alias("tokens"), F.lit(0).alias("i"))
 
     def step(acc: Column, x: Column) -> Column:
-        cut = (F.size(acc["open"]) > 0) & (acc["tokens"] + x["tokens"] > threshold)
+        cut = alone(x) | acc["tokens"].isNull() | (acc["tokens"] + tokens(x) > threshold)
         return F.struct(
-            F.when(cut, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]).alias("done"),
-            F.when(cut, F.array(x)).otherwise(F.concat(acc["open"], F.array(x))).alias("open"),
-            F.when(cut, x["tokens"]).otherwise(acc["tokens"] + x["tokens"]).alias("tokens"),
+            F.when(cut, F.concat(acc["starts"], F.array(acc["i"]))).otherwise(acc["starts"]).alias("starts"),
+            F.when(alone(x), F.lit(None)).when(cut, tokens(x)).otherwise(acc["tokens"] + tokens(x)).cast("int").alias("tokens"),
+            (acc["i"] + 1).alias("i"),
         )
 
-    def close(acc: Column) -> Column:
-        return F.when(F.size(acc["open"]) > 0, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"])
+    return let(F.aggregate(items, empty, step, lambda acc: acc["starts"]), lambda starts: runs(items, starts))
+
+
+def greedy_pack(sized: Column, threshold: int) -> Column:
+    """Groups of consecutive units whose tokens stay within the threshold; a larger unit stands alone.
 
-    return F.aggregate(sized, empty, step, close)
+    ``sized``: array of (text, tokens). Returns an array of arrays of them.
+    """
+    return packed(sized, lambda u: u["tokens"], threshold)
 
 
 def strip(text: Column) -> Column:
@@ -54,28 +66,18 @@ def strip(text: Column) -> Column:
 
 def heading_sections(text: Column) -> Column:
     """(heading, body) pairs; text before the first heading has none. A heading without body counts too."""
-    kind = "struct<heading:string,body:string>"
-    empty = F.struct(
-        F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast("string").alias("heading"), F.array().cast("array<string>").alias("body")
-    )
 
-    def closed(acc: Column) -> Column:
-        return let(
-            strip(F.array_join(acc["body"], "\n")),
-            lambda body: F.when(
-                (body != "") | acc["heading"].isNotNull(),
-                F.concat(acc["done"], F.array(F.struct(acc["heading"].alias("heading"), body.alias("body")))),
-            ).otherwise(acc["done"]),
+    def cut(lines: Column) -> Column:
+        heads = F.filter(F.transform(lines, lambda x, i: F.when(T.is_chunk_heading(x), i)), lambda i: i.isNotNull())
+        # each part begins with its heading; one more line before all stands for none
+        parts = let(F.concat(F.array(F.lit(0)), F.transform(heads, lambda i: i + 1)), lambda starts: runs(F.concat(F.array(F.lit(None).cast("string")), lines), starts))
+        pairs = F.transform(
+            parts, lambda p: F.struct(strip(F.get(p, F.lit(0))).alias("heading"), strip(F.array_join(F.slice(p, F.lit(2), F.size(p)), "\n")).alias("body"))
         )
-
-    def step(acc: Column, line: Column) -> Column:
-        return F.when(
-            T.is_chunk_heading(line),
-            F.struct(closed(acc).alias("done"), strip(line).alias("heading"), F.array().cast("array<string>").alias("body")),
-        ).otherwise(F.struct(acc["done"].alias("done"), acc["heading"].alias("heading"), F.concat(acc["body"], F.array(line)).alias("body")))
+        return F.filter(pairs, lambda s: s["heading"].isNotNull() | (s["body"] != ""))
 
     whole = F.array(F.struct(F.lit(None).cast("string").alias("heading"), strip(text).alias("body")))
-    return let(F.aggregate(T.lines(text), empty, step, closed), lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
+    return let(let(T.lines(text), cut), lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
 
 
 def _chunk(text, tokens, tier, title, label, cont, part, total, reason) -> Column:
@@ -141,22 +143,7 @@ def _combined(buffer: Column) -> Column:
 
 def merge_small(chunks: Column, threshold: int) -> Column:
     """Runs of whole-section chunks packed together; any other chunk ends a run."""
-    empty = F.struct(
-        F.array().cast(f"array<{CHUNK_TYPE}>").alias("done"), F.array().cast(f"array<{CHUNK_TYPE}>").alias("open"), F.lit(0).alias("tokens")
-    )
-    none = F.array().cast(f"array<{CHUNK_TYPE}>")
-
-    def flushed(acc: Column) -> Column:
-        return F.when(F.size(acc["open"]) > 0, F.concat(acc["done"], F.array(_combined(acc["open"])))).otherwise(acc["done"])
-
-    def step(acc: Column, c: Column) -> Column:
-        other = F.struct(F.concat(flushed(acc), F.array(c)).alias("done"), none.alias("open"), F.lit(0).alias("tokens"))
-        fresh = F.struct(flushed(acc).alias("done"), F.array(c).alias("open"), c["token_count"].alias("tokens"))
-        more = F.struct(acc["done"].alias("done"), F.concat(acc["open"], F.array(c)).alias("open"), (acc["tokens"] + c["token_count"]).alias("tokens"))
-        full = (F.size(acc["open"]) > 0) & (acc["tokens"] + c["token_count"] > threshold)
-        return F.when(c["tier"] != 1, other).when(full, fresh).otherwise(more)
-
-    return F.aggregate(chunks, empty, step, flushed)
+    return F.transform(packed(chunks, lambda c: c["token_count"], threshold, lambda c: c["tier"] != 1), _combined)
 
 
 def chunk_rhetorical(text: Column, threshold: int = THRESHOLD) -> Column:

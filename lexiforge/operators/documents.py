@@ -73,8 +73,14 @@ def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
     return best.select(key, *[F.col("__row").getField(c).alias(c) for c in others])
 
 
-def parent_lookup(wanted: DataFrame, web: DataFrame, files: DataFrame) -> DataFrame:
-    """The web row of a resource, else its file's row; both sides hold one row a ``resource_id``."""
+def parent_lookup(wanted: DataFrame, web: DataFrame, files: DataFrame, order: str | None = None) -> DataFrame:
+    """The web row of a resource, else its file's row.
+
+    Of several rows with one ``resource_id`` the last by ``order`` counts; without
+    it either side holds one row a resource.
+    """
+    if order is not None:
+        web, files = (latest(x, "resource_id", order) for x in (web, files))
     cols = [c for c in web.columns if c != "resource_id"]
     a = web.select("resource_id", F.struct(*cols, F.lit("web").alias("source")).alias("__a"))
     b = files.select("resource_id", F.struct(*cols, F.lit("file").alias("source")).alias("__b"))

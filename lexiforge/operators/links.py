@@ -7,53 +7,22 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import urls as U
+from .web import page_targets
 
 #: Links of each kind that are followed for a resource.
 LINK_CAP = 20
 
 
-def anchors(html: Column) -> Column:
-    """(href, text) of each anchor, by pattern; for markup without nested anchors."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>"), 1)
-    texts = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*?href=\"[^\"]*\"[^>]*>(.*?)</a>"), 1)
-    return F.arrays_zip(found.alias("href"), texts.alias("text"))
-
-
-def classify(url: Column, base: Column) -> Column:
-    """``pdf``, ``external``, ``internal`` (a page below the base), or null for other pages of the site."""
-    return (
-        F.when(U.mentions_pdf(url), "pdf")
-        .when((U.netloc(url) != "") & (U.netloc(url) != U.netloc(base)), "external")
-        .when(U.is_subpage(url, base), "internal")
-    )
-
-
 def page_links(pages: DataFrame) -> DataFrame:
-    """``page_id, pos, url, text, kind`` for the first anchor of each target.
+    """``page_id, pos, url, text, kind`` of the links of (page_id, url, html), by the first anchor of each target.
 
     A target counts as seen by its first anchor even if that one's text is too
-    short to keep, so a later, better text doesn't bring it back.
+    short to keep, so a later, better text doesn't bring it back. Positions count
+    targets.
     """
-    raw = pages.select("page_id", F.col("url").alias("base"), F.posexplode(anchors(F.col("html"))).alias("pos", "a"))
-    href = F.trim("a.href")
-    usable = raw.where((href != "") & ~href.startswith("#") & ~href.startswith("mailto:")).select(
-        "page_id", "base", "pos", href.alias("href"), T.squeeze(F.regexp_replace("a.text", "<[^>]*>", " ")).alias("text")
-    )
-    absolute = usable.withColumn("url", absolute_url(F.col("base"), F.col("href")))
-    first = F.row_number().over(Window.partitionBy("page_id", "url").orderBy("pos"))
-    kept = absolute.withColumn("n", first).where("n = 1 and length(text) >= 3")
-    return kept.select("page_id", "pos", "url", "text", classify(F.col("url"), F.col("base")).alias("kind")).where("kind is not null")
-
-
-def absolute_url(base: Column, href: Column) -> Column:
-    """Absolute and host-absolute links by expression, the rest by the resolver."""
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
-    return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(scheme, F.lit("//"), U.netloc(base), href))
-        .otherwise(F.concat(F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"[^/]*$", ""), href))
-    )
+    found = page_targets(pages).select("page_id", "base", F.posexplode("links").alias("pos", "a"))
+    kept = found.where(F.length("a.text") >= 3)
+    return kept.select("page_id", "pos", "a.url", "a.text", U.link_kind(F.col("a.url"), F.col("base")).alias("kind")).where("kind is not null")
 
 
 def capped(links: DataFrame, cap: int = LINK_CAP) -> DataFrame:

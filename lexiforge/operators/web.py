@@ -1,8 +1,8 @@
 """Cleaning of web pages: boilerplate, sections, links, the text for a model.
 
 Parsing is the one step without a built-in expression; it runs in Arrow batches
-and returns structured columns. Links, counts, routes and the assembled text
-are expressions on these.
+and returns structured columns: sections and resolved anchors. Kinds of links,
+counts, routes and the assembled text are expressions on these.
 """
 
 from __future__ import annotations
@@ -10,32 +10,25 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from urllib.parse import urljoin, urlparse
+from itertools import pairwise
+from urllib.parse import urlparse
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from ..functions import dom
+from ..functions import fixed_values as V
 from ..functions import text as T
-from ..functions.urls import SKIP_PATTERNS
-
-# What counts as boilerplate in the two cleaners, and as content.
-NOISE_TAGS = "script style noscript iframe nav footer header aside form button svg figure cookie-banner cookie-notice".split()
-NOISE_MARKS = (
-    "cookie banner popup modal sidebar breadcrumb share social newsletter subscribe advertisement advert skip-link site-header "
-    "site-footer top-nav related-links related-content in-this-section in_this_section section-nav local-nav local-links page-nav "
-    "secondary-nav sub-nav utility-links share-links share-page social-share addthis sharethis pagination pager tag-list "
-    "was-this-page feedback-form follow-us footer-links"
-).split()
-LINKED_NOISE_TAGS = "aside button figure footer form header iframe nav noscript script style".split()
-LINKED_NOISE_MARKS = re.compile(
-    "(nav|menu|header|footer|sidebar|cookie|banner|ad[sv]?|popup|modal|breadcrumb|social|share|comment|related|pagination|widget)", re.I
-)
-SOCIAL = {"facebook", "twitter", "whatsapp", "messenger", "linkedin", "share"}
-CONTENT_TAGS = {"p", "li", "td", "th", "dd", "dt", "blockquote", "figcaption"}
-CONTAINERS = ["content", "main-content", "page-content", "entry-content", "post-content", "body-content"]
-_SKIP = re.compile("|".join(f"(?:{p})" for p in SKIP_PATTERNS), re.I)
+from ..functions import urls as U
+
+_LINKED_NOISE = re.compile(V.LINKED_NOISE_PATTERN, re.I)
+_SKIP = re.compile("|".join(f"(?:{p})" for p in U.SKIP_PATTERNS), re.I)
+_HEADS = ("h1", "h2", "h3")
+#: Where a description is looked for, first come first served.
+DESCRIPTIONS = (("name", "description"), ("property", "og:description"), ("name", "twitter:description"))
 
 
 def normalise(text: str) -> str:
@@ -44,115 +37,106 @@ def normalise(text: str) -> str:
 
 def visible_text(source: str | None) -> str:
     """All text outside scripts, styles and noscript, strings joined by a space."""
-    root = dom.parse(source)
-    for e in root.find_all("script", "style", "noscript"):
-        e.remove()
-    return root.text(" ")
+    page = dom.parse(source)
+    page.remove(lambda i: page.name[i] == "noscript")
+    return page.text(0, " ")
+
 
+@F.pandas_udf(IntegerType())
+def visible_words(sources: pd.Series) -> pd.Series:
+    """Words of ``visible_text``."""
+    return sources.map(lambda s: len(visible_text(s).split()))
 
-def strip_boilerplate(root: dom.Element) -> None:
+
+def strip_boilerplate(page: dom.Outline) -> None:
     """Removes noise by tag, by class and id, and small navigation and share blocks."""
-    for e in root.find_all(*NOISE_TAGS):
-        e.remove()
-    for e in root.find_all():
-        if e.attached(root) and any(m in e.marks() for m in NOISE_MARKS):
-            e.remove()
-    for e in root.find_all("ul", "nav", "section"):
-        text = e.text()
-        if text.lower().startswith("in this section") and len(text) < 300:
-            e.remove()
-    for e in root.find_all("div", "ul", "section"):
-        if e.attached(root):
-            own = e.text(" ").lower().split()
-            if len(own) < 80 and len(SOCIAL.intersection(own)) >= 3:
-                e.remove()
-
-
-def description(root: dom.Element) -> str:
-    """The first of the three usual meta descriptions that says something."""
-    for key, value in (("name", "description"), ("property", "og:description"), ("name", "twitter:description")):
-        tag = next((m for m in root.find_all("meta") if m.attrs.get(key) == value), None)
-        if tag is not None and tag.attrs.get("content"):
-            return tag.attrs["content"].strip()
-    return ""
-
-
-def links(root: dom.Element, base: str) -> dict[str, list[dict]]:
-    """Links to documents, to other sites and to pages below this one; each target once, by its first anchor."""
-    out: dict[str, list[dict]] = {"pdf_links": [], "external_links": [], "internal_links": []}
-    here, seen = urlparse(base), set()
-    for a in root.find_all("a"):
-        href = (a.attrs.get("href") or "").strip()
-        if not href or href.startswith(("#", "mailto:")):
-            continue
-        try:
-            url = urljoin(base, href)
-            there = urlparse(url)
-        except ValueError:
-            continue
-        if url in seen:
-            continue
-        seen.add(url)
-        text = normalise(a.text(" "))
-        if len(text) < 3:
-            continue
-        entry = {"text": text, "url": url}
-        if ".pdf" in url.lower():
-            out["pdf_links"].append(entry)
-        elif there.netloc and there.netloc != here.netloc:
-            out["external_links"].append(entry)
-        elif there.netloc:
-            above, below = here.path.rstrip("/"), there.path.rstrip("/")
-            if below.startswith(above + "/") and below != above:
-                out["internal_links"].append(entry)
-    return out
-
-
-def main_container(root: dom.Element) -> dom.Element | None:
+    social = frozenset(V.SOCIAL_WORDS)
+
+    def noise(i):
+        return page.name[i] in V.NOISE_TAGS or any(m in page.marks(i) for m in V.NOISE_PATTERNS)
+
+    def local_menu(i):
+        return page.name[i] in ("ul", "nav", "section") and page.size(i) < 300 and page.text(i).lower().startswith("in this section")
+
+    def share_box(i):
+        return page.name[i] in ("div", "ul", "section") and page.count(i) < 80 and len(social & {*page.text(i, " ").lower().split()}) >= 3
+
+    for rule in (noise, local_menu, share_box):
+        page.remove(rule)
+
+
+def description(page: dom.Outline) -> str:
+    """The first of the usual meta descriptions that says something."""
+    told: dict[tuple, str] = {}
+    for i in page.named(("meta",)):
+        for place in DESCRIPTIONS:
+            if page.attrs[i].get(place[0]) == place[1]:
+                told.setdefault(place, page.attrs[i].get("content", ""))
+    return next((told[p].strip() for p in DESCRIPTIONS if told.get(p)), "")
+
+
+def anchors(page: dom.Outline, base: str, join: str = " ") -> Iterator[tuple[str, str]]:
+    """(absolute target, text) of the anchors that lead to another page, in order."""
+    for i in page.named(("a",)):
+        href = page.attrs[i].get("href", "").strip()
+        if href and not href.startswith("#") and (target := U.absolute(base, href)) is not None:
+            yield target, page.text(i, join)
+
+
+def targets(page: dom.Outline, base: str) -> list[dict]:
+    """Each target with the text of its first anchor."""
+    first: dict[str, str] = {}
+    for url, text in anchors(page, base):
+        if not url.startswith("mailto:"):
+            first.setdefault(url, normalise(text))
+    return [{"text": text, "url": url} for url, text in first.items()]
+
+
+def main_container(page: dom.Outline) -> int | None:
     """main, article, a division named for content, the largest division, or the body."""
-    for name in ("main", "article"):
-        found = root.find(name)
-        if found is not None:
-            return found
-    divs = root.find_all("div")
-    for hint in CONTAINERS:
-        found = next((d for d in divs if d.attrs.get("id") == hint), None) or next((d for d in divs if hint in (d.attrs.get("class") or "").split()), None)
-        if found is not None and len(found.text()) > 200:
-            return found
-    best = max(divs, key=lambda d: len(d.text()), default=None)
-    return best if best is not None and len(best.text()) > 200 else root.find("body")
-
-
-def sections(root: dom.Element) -> list[dict]:
+    first: dict[str, int] = {}
+    for i in page.named(("main", "article", "body")):
+        first.setdefault(page.name[i], i)
+    if {"main", "article"} & first.keys():
+        return first.get("main", first.get("article"))
+    divisions = list(page.named(("div",)))
+    by_id, by_class = {}, {}
+    for i in reversed(divisions):  # the first of a name is what stays
+        by_id[page.attrs[i].get("id")] = i
+        by_class.update((c, i) for c in page.attrs[i].get("class", "").split())
+    hinted = [by_id.get(h, by_class.get(h)) for h in V.CONTENT_HINTS]
+    # max() takes the first of equally large ones
+    likely = [*hinted, max(divisions, key=page.size, default=None)]
+    return next((i for i in likely if i is not None and page.size(i) > 200), first.get("body"))
+
+
+def sections(page: dom.Outline) -> list[dict]:
     """Text under each heading of up to 15 words, in document order; longer headings are passed over."""
-    out: list[dict] = []
-    container = main_container(root)
-    if container is None:
-        return out
-    head, level, held = "", "preamble", []
-
-    def close() -> None:
-        text = normalise(" ".join(held))
-        if text:
-            out.append({"heading": head, "level": level, "content": text})
-
-    for e in container.descendants():
-        if e.name in ("h1", "h2", "h3"):
-            text = normalise(e.text(" "))
-            if text and len(text.split()) <= 15:
-                close()
-                head, level, held = text, e.name, []
-        elif e.name in CONTENT_TAGS and not any(p.name in CONTENT_TAGS and p.name != e.name for p in e.ancestors()):
-            text = normalise(e.text(" "))
-            if text:
-                held.append(text)
-    close()
-    return out
-
-
-def headings(root: dom.Element) -> list[str]:
+    place = main_container(page)
+    if place is None:
+        return []
+    # which content tags an element stands in, a bit each
+    bit = {name: 1 << n for n, name in enumerate(V.CONTENT_TAGS)}
+    within = [0] * len(page.name)
+    for i in range(1, len(within)):
+        up = page.parent[i]
+        within[i] = within[up] | bit.get(page.name[up], 0)
+    items = []  # (tag of a heading or "", text)
+    for i in page.below(place):
+        own = bit.get(page.name[i], 0)
+        if page.name[i] in _HEADS or (own and not within[i] & ~own):
+            text = normalise(page.text(i, " "))
+            if text and (own or len(text.split()) <= 15):
+                items.append(("" if own else page.name[i], text))
+    items.insert(0, ("preamble", ""))
+    cuts = [n for n, (level, _) in enumerate(items) if level]
+    parts = [(items[lo], normalise(" ".join(t for _, t in items[lo + 1 : hi]))) for lo, hi in pairwise([*cuts, len(items)])]
+    return [{"heading": head, "level": level, "content": text} for (level, head), text in parts if text]
+
+
+def headings(page: dom.Outline) -> list[str]:
     """Distinct headings of 4 characters to 12 words."""
-    found = (normalise(h.text(" ")) for h in root.find_all("h1", "h2", "h3"))
+    found = (normalise(page.text(i, " ")) for i in page.named(_HEADS))
     return list(dict.fromkeys(t for t in found if len(t) > 3 and len(t.split()) <= 12))
 
 
@@ -163,21 +147,22 @@ PARSED = pa.schema(
         ("page_title", pa.string()),
         ("description", pa.string()),
         ("sections", pa.list_(pa.struct([("heading", pa.string()), ("level", pa.string()), ("content", pa.string())]))),
-        ("pdf_links", _LINK),
-        ("external_links", _LINK),
-        ("internal_links", _LINK),
+        ("links", _LINK),
     ]
 )
-PARSED_DDL = f"page_title string, description string, sections array<struct<heading:string,level:string,content:string>>, pdf_links {_LINK_DDL}, external_links {_LINK_DDL}, internal_links {_LINK_DDL}"
+PARSED_DDL = f"page_title string, description string, sections array<struct<heading:string,level:string,content:string>>, links {_LINK_DDL}"
+
+
+def _title(page: dom.Outline) -> int | None:
+    return next(page.named(("title",)), None)
 
 
 def _parse_page(source: str, url: str, title: str) -> dict:
-    root = dom.parse(source)
-    tag = root.find("title")
-    found = links(root, url)  # before the navigation goes
-    said = description(root)
-    strip_boilerplate(root)
-    return {"page_title": tag.text(" ") if tag is not None else title, "description": normalise(said), "sections": sections(root), **found}
+    page = dom.parse(source)
+    tag = _title(page)
+    out = {"page_title": title if tag is None else page.text(tag, " "), "description": normalise(description(page)), "links": targets(page, url)}
+    strip_boilerplate(page)  # after the links, which the navigation holds too
+    return {**out, "sections": sections(page)}
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,6 +175,22 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=kind)
 
 
+def page_targets(pages: DataFrame) -> DataFrame:
+    """``page_id, base, links``: the targets of (page_id, url, html), each by its first anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [targets(dom.parse(s), b or "") for b, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, _LINK)], names=["page_id", "base", "links"])
+
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, f"page_id long, base string, links {_LINK_DDL}")
+
+
+def of_kind(links: Column, base: Column, kind: str) -> Column:
+    """The links of an array that are of a kind and say something."""
+    return F.filter(links, lambda x: (F.length(x["text"]) >= 3) & F.coalesce(U.link_kind(x["url"], base) == kind, F.lit(False)))
+
+
 def listed(items: Column) -> Column:
     return F.array_join(F.transform(items, lambda x: F.concat(x["text"], F.lit(" ("), x["url"], F.lit(")"))), " | ")
 
@@ -224,9 +225,7 @@ def clean_pages(pages: DataFrame) -> DataFrame:
             ),
         ).alias("sections"),
         F.coalesce(body, F.lit("")).alias("body_text"),
-        "page.pdf_links",
-        "page.external_links",
-        "page.internal_links",
+        *[of_kind(F.col("page.links"), F.col("url"), kind).alias(f"{kind}_links") for kind in ("pdf", "external", "internal")],
     )
     part = F.transform("sections", lambda s: F.when(s["heading"] != "", F.concat(F.lit("## "), s["heading"], F.lit("\n"), s["content"])).otherwise(s["content"]))
     head = F.concat_ws("\n", said("TITLE", F.col("clean_title")), said("DESCRIPTION", F.col("description")))
@@ -242,37 +241,23 @@ def clean_pages(pages: DataFrame) -> DataFrame:
 
 
 def _linked_page(source: str, url: str) -> dict:
-    root = dom.parse(source)
-    tag = root.find("title")
-    meta = next((m for m in root.find_all("meta") if re.fullmatch("description", m.attrs.get("name", ""), re.I)), None)
-    for e in [e for e in root.find_all() if e.name in LINKED_NOISE_TAGS or LINKED_NOISE_MARKS.search(e.marks())]:
-        e.remove()
-    place = root.find("main") or root.find("article") or root.find("body") or root
-    parts = [t for t in (e.text(" ") for e in place.find_all("p", "li", "td", "th", "h1", "h2", "h3", "h4", "h5")) if len(t) > 20]
-    pdf, ext, here = [], [], urlparse(url).netloc
-    for a in root.find_all("a"):
-        href = (a.attrs.get("href") or "").strip()
-        if not href or href.startswith("#"):
-            continue
-        try:
-            target = urljoin(url, href)
-            there = urlparse(target).netloc
-        except ValueError:
-            continue
-        if _SKIP.search(target):
-            continue
-        entry = {"text": a.text() or target, "url": target}
-        if target.lower().split("?")[0].endswith(".pdf"):
-            pdf.append(entry)
-        elif there != here:
-            ext.append(entry)
+    page = dom.parse(source)
+    tag = _title(page)
+    meta = next((i for i in page.named(("meta",)) if page.attrs[i].get("name", "").lower() == "description"), None)
+    page.remove(lambda i: page.name[i] in V.LINKED_NOISE_TAGS or bool(_LINKED_NOISE.search(page.marks(i))))
+    first = {page.name[i]: i for i in reversed(list(page.named(("main", "article", "body"))))}
+    place = first.get("main", first.get("article", first.get("body", 0)))
+    blocks = (page.text(i, " ") for i in page.named(("p", "li", "td", "th", "h1", "h2", "h3", "h4", "h5"), place))
+    links = [{"text": text or target, "url": target} for target, text in anchors(page, url, "") if not _SKIP.search(target)]
+    is_pdf = [x["url"].lower().partition("?")[0].endswith(".pdf") for x in links]
+    here = urlparse(url).netloc
     return {
-        "title": tag.text() if tag is not None else "",
-        "description": (meta.attrs.get("content") or "").strip() if meta is not None else "",
-        "headings": [t for t in (h.text() for h in root.find_all("h1", "h2", "h3", "h4")) if t],
-        "body_text": " ".join(parts),
-        "pdf_links": pdf,
-        "external_links": ext,
+        "title": "" if tag is None else page.text(tag),
+        "description": "" if meta is None else page.attrs[meta].get("content", "").strip(),
+        "headings": [t for t in (page.text(i) for i in page.named(("h1", "h2", "h3", "h4"))) if t],
+        "body_text": " ".join(t for t in blocks if len(t) > 20),
+        "pdf_links": [x for x, pdf in zip(links, is_pdf, strict=True) if pdf],
+        "external_links": [x for x, pdf in zip(links, is_pdf, strict=True) if not pdf and urlparse(x["url"]).netloc != here],
     }
 
 

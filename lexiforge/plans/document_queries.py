@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import documents as D
+from ..operators import web as W
 from ..sources.tables import table
 from .registry import Registry, tokens, words
 
@@ -37,11 +38,11 @@ def route_rollup(spark, sf_dir):
 
 
 @R.add(
-    r"""SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS clean, CAST(length(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS INTEGER) AS clean_chars
-FROM documents"""
+    r"""SELECT doc_id, c AS clean, CAST(length(c) AS INTEGER) AS clean_chars FROM (SELECT doc_id, trim(regexp_replace(text || ' fi2 ', '[\s\x{a0}]+', ' ', 'g')) AS c FROM documents)"""
 )
 def clean_whitespace(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.squeeze(F.col("text")).alias("clean")).withColumn("clean_chars", F.length("clean"))
+    clean = T.normalise_web(F.concat("text", F.lit("\u00a0\ufb01\u00b2 ")))
+    return table(spark, sf_dir, "documents").select("doc_id", clean.alias("clean")).withColumn("clean_chars", F.length("clean"))
 
 
 # every page address, and forms of it that the rules treat apart
@@ -99,19 +100,13 @@ FROM (
   FROM pages)"""
 
 
-def visible_words(html):
-    """Words of a page outside markup, scripts and styles, by pattern."""
-    bare = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style|noscript)\b.*?</(script|style|noscript)>", " "), r"(?s)<!--.*?-->", " ")
-    return T.word_count(F.regexp_replace(bare, "<[^>]*>", " "))
-
-
 def _fetched(spark, sf_dir):
     """Pages as fetched resources; some stand in for documents and for failures."""
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("resource_id"),
         F.when(F.col("page_id") % 7 == 0, F.concat(F.regexp_replace("url", r"[?#].*$", ""), F.lit(".pdf"))).otherwise(F.col("url")).alias("url"),
         F.when(F.col("page_id") % 11 == 0, "robots-blocked").alias("failure"),
-        visible_words(F.col("html")).alias("word_count"),
+        W.visible_words("html").alias("word_count"),
     )
     return pages.withColumn("status", D.fetch_status(F.col("url"), F.col("failure"), F.col("word_count")))
 
@@ -141,23 +136,17 @@ def skipped_log(spark, sf_dir):
 @R.add(
     f"""SELECT q.resource_id, coalesce(a.title, b.title) AS title, coalesce(a.token_count, b.token_count) AS token_count,
   CASE WHEN a.resource_id IS NOT NULL THEN 'web' WHEN b.resource_id IS NOT NULL THEN 'file' END AS source
-FROM (SELECT doc_id AS resource_id FROM labels) q
+FROM (SELECT doc_id AS resource_id FROM labels UNION ALL SELECT -1 - doc_id FROM labels) q
 LEFT JOIN (SELECT page_id AS resource_id, url AS title, CAST(length(html) AS INTEGER) AS token_count FROM pages) a USING (resource_id)
-LEFT JOIN (SELECT doc_id AS resource_id, source AS title, {tokens("text")} AS token_count FROM documents WHERE doc_id % 2 = 0) b USING (resource_id)"""
+LEFT JOIN (SELECT doc_id AS resource_id, source AS title, {tokens("text")} AS token_count FROM documents) b USING (resource_id)"""
 )
 def parent_lookup(spark, sf_dir):
     web = table(spark, sf_dir, "pages").select(F.col("page_id").alias("resource_id"), F.col("url").alias("title"), F.length("html").alias("token_count"))
-    files = table(spark, sf_dir, "documents").where("doc_id % 2 = 0")
+    files = table(spark, sf_dir, "documents")
     files = files.select(F.col("doc_id").alias("resource_id"), F.col("source").alias("title"), T.approx_tokens(F.col("text")).alias("token_count"))
-    return D.parent_lookup(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("resource_id")), web, files)
-
-
-@R.add(R.sql["parent_lookup"].replace(" WHERE doc_id % 2 = 0", ""))
-def parent_lookup_all(spark, sf_dir):
-    """Labelled resources looked up in all documents; parent_lookup and its SQL hold the even ones."""
-    web = table(spark, sf_dir, "pages").select(F.col("page_id").alias("resource_id"), F.col("url").alias("title"), F.length("html").alias("token_count"))
-    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("resource_id"), F.col("source").alias("title"), T.approx_tokens(F.col("text")).alias("token_count"))
-    return D.parent_lookup(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("resource_id")), web, files)
+    labels = table(spark, sf_dir, "labels")
+    asked = labels.select(F.col("doc_id").alias("resource_id")).union(labels.select(-1 - F.col("doc_id")))  # and ids that exist nowhere
+    return D.parent_lookup(asked, web, files)
 
 
 @R.add(
@@ -177,16 +166,7 @@ def latest_row(spark, sf_dir):
     return out.withColumnsRenamed({"event_type": "last_type", "value": "last_value"})
 
 
-@R.add(
-    """SELECT doc_id AS resource_id, CASE WHEN toxic = 1 THEN 'failed' ELSE 'success' END AS status FROM labels WHERE toxic = 0 AND doc_id IN (3, 5, 8, 13, 21, 34, 55, 89, 144)"""
-)
-def stage_input(spark, sf_dir):
-    rows = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("resource_id"), F.when(F.col("toxic") == 1, "failed").otherwise("success").alias("status"))
-    return D.stage_input(rows, "status", "success", [3, 5, 8, 13, 21, 34, 55, 89, 144])
-
-
 @R.add("SELECT doc_id AS resource_id, 'success' AS status FROM labels WHERE toxic = 0")
-def stage_input_all(spark, sf_dir):
-    """The stage's input without named resources; stage_input and its SQL name nine."""
+def stage_input(spark, sf_dir):
     rows = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("resource_id"), F.when(F.col("toxic") == 1, "failed").otherwise("success").alias("status"))
     return D.stage_input(rows, "status", "success")

@@ -14,45 +14,51 @@ R = Registry()
 _NET = r"regexp_extract({0}, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1)"
 _PATH = r"rtrim(regexp_extract({0}, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), '/')"
 
-# the pages' own links lead elsewhere on their site; more are added that lead below, out, to files and nowhere
-_HTML = """(SELECT page_id, url, html || '<a href="' || split_part(split_part(url, '?', 1), '#', 1) || '/sub/' || (page_id % 4) || '">deeper</a>'
-  || '<a href="https://other.example.org/' || (page_id % 5) || '">go out</a><a href="/files/' || page_id || '.pdf">the file</a>'
-  || '<a href="#top">top</a><a href="mailto:x@example.org">mail</a><a href="https://twitter.com/intent/tweet">tweet it</a><a href="https://z.example.org/">x</a><a href="https://z.example.org/">longer text</a>' AS html
+# the pages' own links lead elsewhere on their site; more are added that lead below, above, out, to files and nowhere
+_MORE = """<a href="#top">top</a><a href="mailto:x@example.org">mail</a><a href="https://twitter.com/intent/tweet">tweet it</a><a href="https://z.example.org/">x</a><a href="https://z.example.org/">longer text</a>"""
+_HTML = f"""(SELECT page_id, url, html || '<a href="' || split_part(split_part(url, '?', 1), '#', 1) || '/sub/' || (page_id % 4) || '">deeper</a>'
+  || '<a href="https://other.example.org/' || (page_id % 5) || '">go out</a><a class=file href=''/files/' || page_id || '.pdf''>the <b>file</b> &amp; more</a>'
+  || '<a href="../up/../above-' || (page_id % 3) || '.pdf">one level up</a>{_MORE}' AS html
   FROM pages)"""
 
 
 def _pages(spark, sf_dir):
     bare = F.regexp_replace("url", r"[?#].*$", "")
+    number = lambda n: (F.col("page_id") % n).cast("string")
     more = F.concat(
         F.col("html"),
-        F.lit('<a href="'), bare, F.lit("/sub/"), (F.col("page_id") % 4).cast("string"), F.lit('">deeper</a><a href="https://other.example.org/'),
-        (F.col("page_id") % 5).cast("string"), F.lit('">go out</a><a href="/files/'), F.col("page_id").cast("string"), F.lit('.pdf">the file</a>'),
-        F.lit('<a href="#top">top</a><a href="mailto:x@example.org">mail</a><a href="https://twitter.com/intent/tweet">tweet it</a>'),
-        F.lit('<a href="https://z.example.org/">x</a><a href="https://z.example.org/">longer text</a>'),
+        F.lit('<a href="'), bare, F.lit("/sub/"), number(4), F.lit('">deeper</a><a href="https://other.example.org/'),
+        number(5), F.lit("\">go out</a><a class=file href='/files/"), F.col("page_id").cast("string"), F.lit(".pdf'>the <b>file</b> &amp; more</a>"),
+        F.lit('<a href="../up/../above-'), number(3), F.lit('.pdf">one level up</a>'), F.lit(_MORE),
     )
     return table(spark, sf_dir, "pages").select("page_id", "url", more.alias("html"))
 
 
+_BARE = "regexp_replace(base, '[?#].*$', '')"
+_FOLDER = "regexp_replace(CASE WHEN regexp_matches(bare, '^[a-z]+://[^/]*$') THEN bare || '/' ELSE bare END, '[^/]*$', '')"
 _LINKS = rf"""
-WITH a AS (
-  SELECT page_id, url AS base, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>', 1)) AS href,
-         unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="[^"]*"[^>]*>(.*?)</a>', 1)) AS label,
-         unnest(range(len(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>', 1)))) AS pos
-  FROM {_HTML}
+WITH m AS (
+  SELECT page_id, url AS base, unnest(found) AS a, unnest(range(len(found))) AS nth
+  FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*?href=(?:"[^"]*"|''[^'']*'')[^>]*>.*?</a>') AS found FROM {_HTML})
+), a AS (
+  SELECT page_id, base, {_BARE} AS bare, nth, trim(regexp_extract(a, '(?is)href=["'']([^"'']*)["'']', 1)) AS href, regexp_extract(a, '(?is)>(.*)</a>', 1) AS label FROM m
+), d AS (
+  SELECT *, {_FOLDER} AS folder FROM a WHERE href <> '' AND NOT starts_with(href, '#') AND NOT starts_with(href, 'mailto:')
 ), u AS (
-  SELECT page_id, base, CAST(pos AS INTEGER) AS pos, trim(regexp_replace(regexp_replace(label, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text,
-         CASE WHEN regexp_matches(trim(href), '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN trim(href)
-              WHEN starts_with(trim(href), '/') THEN regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.\-]*:)', 1) || '//' || {_NET.format("base")} || trim(href)
-              ELSE regexp_replace(regexp_replace(base, '[?#].*$', ''), '[^/]*$', '') || trim(href) END AS url
-  FROM a WHERE trim(href) <> '' AND NOT starts_with(trim(href), '#') AND NOT starts_with(trim(href), 'mailto:')
+  SELECT page_id, base, nth, trim(regexp_replace(replace(replace(replace(regexp_replace(label, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS text,
+         CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN href
+              WHEN starts_with(href, '/') THEN regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.\-]*:)', 1) || '//' || {_NET.format("base")} || href
+              WHEN starts_with(href, '../up/../') THEN regexp_replace(folder, '(://[^/]*/(?:.*/)?)[^/]+/$', '\1') || substr(href, 10)
+              ELSE folder || href END AS url
+  FROM d
 ), f AS (
-  SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY pos) AS n FROM u
+  SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY nth) AS n FROM u
 ), links AS (
-  SELECT page_id, pos, url, text, CASE WHEN contains(lower(url), '.pdf') THEN 'pdf' WHEN {_NET.format("url")} <> '' AND {_NET.format("url")} <> {_NET.format("base")} THEN 'external'
+  SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY nth) - 1 AS INTEGER) AS pos, url, text, CASE WHEN contains(lower(url), '.pdf') THEN 'pdf' WHEN {_NET.format("url")} <> '' AND {_NET.format("url")} <> {_NET.format("base")} THEN 'external'
     WHEN {_NET.format("url")} = {_NET.format("base")} AND starts_with({_PATH.format("url")}, {_PATH.format("base")} || '/') AND {_PATH.format("url")} <> {_PATH.format("base")} THEN 'internal' END AS kind
-  FROM f WHERE n = 1 AND length(text) >= 3
+  FROM f WHERE n = 1
 )"""
-_KEPT = _LINKS + ", kept AS (SELECT * FROM links WHERE kind IS NOT NULL)"
+_KEPT = _LINKS + ", kept AS (SELECT * FROM links WHERE kind IS NOT NULL AND length(text) >= 3)"
 _SKIP = "regexp_matches(url, '(?i)(?:^mailto:)|(?:twitter\\.com/(intent|home\\?status))')"
 _CAPPED = _KEPT + f", capped AS (SELECT *, CAST(row_number() OVER (PARTITION BY page_id, kind ORDER BY pos) AS INTEGER) AS rank FROM kept WHERE NOT {_SKIP})"
 

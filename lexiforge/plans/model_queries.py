@@ -72,46 +72,6 @@ def summaries(spark, sf_dir):
     return flows.summarise_groups(groups.withColumn("resource_type", F.lit("Guidance")), backend)
 
 
-def _segments(spark, sf_dir):
-    """Benchmark lines laid out as pages: every fifth is a heading, each page has a running head."""
-    items = table(spark, sf_dir, "benchmark")
-    i = F.col("item_id")
-    body = items.select(
-        (i % 4).alias("doc_id"),
-        (F.floor(i / 4) * 2 + 1).cast("int").alias("pos"),
-        F.when(i % 5 == 0, F.concat(F.floor(i / 20).cast("string"), F.lit(". "), F.substring("text", 1, 40))).otherwise(F.col("text")).alias("text"),
-        F.when(i % 5 == 0, 14.0).otherwise(10.0).alias("font_size"),
-        (i % 5 == 0).alias("bold"),
-        F.lit(50.0).alias("x0"),
-        (F.lit(100.0) + (F.floor(i / 4) % 5) * 100).alias("y0"),
-        F.lit(400.0).alias("x1"),
-        (F.lit(112.0) + (F.floor(i / 4) % 5) * 100).alias("y1"),
-        (F.floor(i / 20) + 1).cast("int").alias("physical_page"),
-        (F.floor(i / 20) + 1).cast("int").alias("logical_page"),
-        F.lit(600.0).alias("logical_width"),
-        F.lit(800.0).alias("logical_height"),
-    )
-    head = body.dropDuplicates(["doc_id", "logical_page"]).withColumns(
-        {"pos": (F.col("logical_page") * -1).cast("int"), "text": F.concat(F.lit("A report "), F.col("logical_page").cast("string")), "y0": F.lit(20.0), "y1": F.lit(30.0), "font_size": F.lit(9.0), "bold": F.lit(False)}
-    )
-    return body.unionByName(head)
-
-
-_SEGMENTS = """SELECT item_id % 4 AS doc_id, CASE WHEN item_id % 5 = 0 THEN (item_id // 20) || '. ' || substr(text, 1, 40) ELSE text END AS text, CASE WHEN item_id % 5 = 0 THEN 14.0 ELSE 10.0 END AS font_size, item_id // 4 AS pos FROM benchmark"""
-
-
-@R.add(
-    f"""SELECT doc_id, CAST(arg_max(font_size, w) AS DOUBLE) AS body_size FROM (SELECT doc_id, font_size, sum(least(length(text), 1200)) AS w FROM ({_SEGMENTS}) GROUP BY 1, 2) GROUP BY 1"""
-)
-def layout_body_size(spark, sf_dir):
-    return layout.body_size(_segments(spark, sf_dir).where("pos > 0"))
-
-
-@R.add("SELECT item_id % 4 AS doc_id, count(*) + CASE WHEN count(DISTINCT item_id // 20) < 3 THEN count(DISTINCT item_id // 20) ELSE 0 END AS n FROM benchmark GROUP BY 1")
-def layout_without_margins(spark, sf_dir):
-    return layout.without_margins(_segments(spark, sf_dir)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-
-
 #: Lines on a page of a document laid out; all of them stand between the margins.
 _LINES = 30
 
@@ -139,15 +99,16 @@ _DOCUMENT_LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS text, u
 w AS (SELECT doc_id, font_size, row_number() OVER (PARTITION BY doc_id ORDER BY sum(least(length(text), 1200)) DESC, min(i)) AS r FROM l WHERE length(text) > 0 GROUP BY doc_id, font_size)
 SELECT doc_id, CAST(coalesce(font_size, 11.0) AS DOUBLE) AS body_size FROM (SELECT DISTINCT doc_id FROM l) LEFT JOIN (SELECT * FROM w WHERE r = 1) USING (doc_id)"""
 )
-def layout_body_size_all(spark, sf_dir):
-    """Whole documents; layout_body_size and its SQL take lines of the benchmark."""
+def layout_body_size(spark, sf_dir):
     return layout.body_size(_document_segments(spark, sf_dir).where("pos > 0"))
 
 
-@R.add(f"SELECT doc_id, count(*) + CASE WHEN max(i) // {_LINES} + 1 < 3 THEN max(i) // {_LINES} + 1 ELSE 0 END AS n FROM ({_DOCUMENT_LINES}) GROUP BY 1")
-def layout_without_margins_all(spark, sf_dir):
-    """Whole documents; layout_without_margins and its SQL take lines of the benchmark."""
-    return layout.without_margins(_document_segments(spark, sf_dir)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+@R.add(
+    f"""SELECT doc_id, CAST(i + 1 AS INTEGER) AS pos, text FROM ({_DOCUMENT_LINES})
+UNION ALL SELECT doc_id, CAST(-p AS INTEGER), 'A report ' || p FROM (SELECT doc_id, unnest(range(1, pages + 1)) AS p FROM (SELECT doc_id, max(i) // {_LINES} + 1 AS pages FROM ({_DOCUMENT_LINES}) GROUP BY 1) WHERE pages < 3)"""
+)
+def layout_without_margins(spark, sf_dir):
+    return layout.without_margins(_document_segments(spark, sf_dir)).select("doc_id", "pos", "text")
 
 
 def _sections(spark, sf_dir):
@@ -197,13 +158,11 @@ def cover_overlap(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", F.size(F.array_intersect(a, b)).alias("shared"), F.size(a).alias("own"), section_roles.repeats_cover(own, ref).alias("repeats"))
 
 
-@R.add("SELECT doc_id, n, strlen(c) AS size FROM (SELECT doc_id, 1 AS n, lang || ':' || source AS c FROM documents)")
+@R.add(
+    r"""SELECT doc_id, CAST(strlen(c) AS BIGINT) AS size, md5(c) AS digest
+FROM (SELECT doc_id, trim(regexp_replace(regexp_replace(coalesce(text, '') || ' fi2 f ', '[\x00-\x08\x0b-\x1f\x7f-\x9f\x{ad}\x{200b}-\x{200f}\x{feff}]', '', 'g'), '[\s\x{a0}]+', ' ', 'g')) AS c FROM documents)"""
+)
 def normalised_size(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.lit(1).alias("n"), F.octet_length(T.normalise_pdf(F.concat_ws(":", "lang", "source"))).cast("long").alias("size"))
-
-
-@R.add()
-def normalised_text_size(spark, sf_dir):
-    """The normaliser over whole texts; normalised_size and its SQL take two short codes."""
-    clean = T.normalise_pdf(F.col("text"))
+    """The normaliser over whole texts, to which a few signs that NFKC changes are added."""
+    clean = T.normalise_pdf(F.concat(F.coalesce("text", F.lit("")), F.lit(" \ufb01\u00b2\u00ad \uff46\u00a0")))
     return table(spark, sf_dir, "documents").select("doc_id", clean.alias("clean")).select("doc_id", F.octet_length("clean").cast("long").alias("size"), F.md5("clean").alias("digest"))

@@ -65,7 +65,7 @@ def tag_canonicalise(spark, sf_dir):
     return out.select("resource_id", "pos", "dim", F.col("tag").alias("proposed"), "valid_tag")
 
 
-_BATCH = f"(SELECT resource_id, dim, CASE WHEN chunk_index < 3 THEN 'primary' ELSE 'secondary' END AS tier, pos, tag FROM {_PROPOSED} WHERE pos % 3 = 0)"
+_BATCH = f"(SELECT resource_id, dim, CASE WHEN chunk_index < 3 THEN 'primary' ELSE 'secondary' END AS tier, pos, tag FROM {_PROPOSED})"
 
 
 @R.add(
@@ -76,15 +76,6 @@ g AS (SELECT resource_id, dim, coalesce(list(valid ORDER BY pos) FILTER (valid I
 SELECT resource_id, dim, array_to_string(primary_tags, '|') AS primary_tags, array_to_string(list_filter(s, lambda x: NOT list_contains(primary_tags, x)), '|') AS secondary_tags, array_to_string(removed, '|') AS removed FROM g"""
 )
 def tag_validate(spark, sf_dir):
-    p = _proposed(spark, sf_dir).where("pos % 3 = 0").withColumn("tier", F.when(F.col("chunk_index") < 3, "primary").otherwise("secondary"))
-    out = G.validate_batch(p, X.taxonomy_frame(spark))
-    joined = lambda c: F.array_join(c, "|")
-    return out.select("resource_id", "dim", joined("primary").alias("primary_tags"), joined("secondary").alias("secondary_tags"), joined("removed").alias("removed"))
-
-
-@R.add(R.sql["tag_validate"].replace(f"{_PROPOSED} WHERE pos % 3 = 0", _PROPOSED))
-def tag_validate_all(spark, sf_dir):
-    """All proposals; tag_validate and its SQL take every third."""
     p = _proposed(spark, sf_dir).withColumn("tier", F.when(F.col("chunk_index") < 3, "primary").otherwise("secondary"))
     out = G.validate_batch(p, X.taxonomy_frame(spark))
     joined = lambda c: F.array_join(c, "|")

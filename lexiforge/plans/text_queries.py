@@ -42,17 +42,17 @@ def lines_kept(spark, sf_dir):
 
 @R.add(
     r"""SELECT doc_id, zone, signature, count(DISTINCT page) AS pages FROM (
-  SELECT o_custkey AS doc_id, o_orderstatus AS zone, regexp_replace(regexp_replace(lower(o_orderpriority || ' ' || o_orderkey), '^\d{1,4}\s+', '<page> '), '\s+\d{1,4}$', ' <page>') AS signature, o_orderkey AS page FROM orders)
+  SELECT o_custkey AS doc_id, o_orderstatus AS zone, regexp_replace(regexp_replace(lower('file2 ' || o_orderpriority || ' ' || o_orderkey), '^\d{1,4}\s+', '<page> '), '\s+\d{1,4}$', ' <page>') AS signature, o_orderkey AS page FROM orders)
 GROUP BY ALL HAVING count(DISTINCT page) >= 3"""
 )
 def margin_repeats(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    text = F.concat_ws(" ", "o_orderpriority", F.col("o_orderkey").cast("string"))
-    return P.repeated_margins(o.select(F.col("o_custkey").alias("doc_id"), F.col("o_orderstatus").alias("zone"), T.margin_signature(text, unicode=False).alias("signature"), F.col("o_orderkey").alias("page")))
+    text = F.concat_ws(" ", F.lit("\ufb01le\u00b2"), "o_orderpriority", F.col("o_orderkey").cast("string"))
+    return P.repeated_margins(o.select(F.col("o_custkey").alias("doc_id"), F.col("o_orderstatus").alias("zone"), T.margin_signature(text).alias("signature"), F.col("o_orderkey").alias("page")))
 
 
 _HEADS = """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN (p_partkey % 9 + 1) || '.' || p_size || ' ' || p_name WHEN 1 THEN p_size || '. ' || p_name || ' ..... 12'
-  WHEN 2 THEN p_name || ' – ' || p_type WHEN 3 THEN upper(p_name) ELSE p_size || ' ' || p_name END AS head FROM part"""
+  WHEN 2 THEN p_name || ' – ' || p_type WHEN 3 THEN upper(p_name) ELSE p_size || ' fi2 ' || p_name END AS head FROM part"""
 
 
 @R.add(
@@ -68,16 +68,16 @@ def heading_keys(spark, sf_dir):
         .when(p % 5 == 1, F.concat(s, F.lit(". "), n, F.lit(" ..... 12")))
         .when(p % 5 == 2, F.concat(n, F.lit(" – "), F.col("p_type")))
         .when(p % 5 == 3, F.upper(n))
-        .otherwise(F.concat(s, F.lit(" "), n))
+        .otherwise(F.concat(s, F.lit(" \ufb01\u00b2 "), n))
     )
     rows = table(spark, sf_dir, "part").select("p_partkey", head.alias("h"))
     h = F.col("h")
     return rows.select(
         "p_partkey",
-        T.heading_key(h, unicode=False).alias("key"),
-        T.heading_key_without_number(h, unicode=False).alias("bare"),
-        T.numeric_depth(h, unicode=False).alias("depth"),
-        T.numeric_prefix(h, unicode=False).alias("prefix"),
+        T.heading_key(h).alias("key"),
+        T.heading_key_without_number(h).alias("bare"),
+        T.numeric_depth(h).alias("depth"),
+        T.numeric_prefix(h).alias("prefix"),
     )
 
 

@@ -66,8 +66,11 @@ def wrap(text: str, width: int) -> list[str]:
 
 
 def table_report(df: DataFrame, title: str, most: int = 200) -> str:
-    """A small result as a table of text; ``most`` bounds what reaches the driver."""
-    rows = [[("" if v is None else str(v)) for v in r] for r in df.limit(most).collect()]
+    """A small result as a table of text; ``most`` bounds what reaches the driver, and a last line says how many rows are left out."""
+    found = df.limit(most + 1).collect()
+    left = df.count() - most if len(found) > most else 0
+    rows = [["" if v is None else str(v) for v in r] for r in found[:most]]
     width = [max([len(c), *(len(r[i]) for r in rows)]) for i, c in enumerate(df.columns)]
     line = lambda cells: "  ".join(c.ljust(w) for c, w in zip(cells, width, strict=True)).rstrip()
-    return "\n".join([title, "=" * len(title), line(df.columns), line(["-" * w for w in width]), *map(line, rows)])
+    tail = [f"... and {left} more rows"] if left else []
+    return "\n".join([title, "=" * len(title), line(df.columns), line(["-" * w for w in width]), *map(line, rows), *tail])

@@ -100,3 +100,5 @@ def test_reports(spark):
     assert K.wrap("alpha, beta, gamma", 12) == ["alpha, beta,", "gamma"]
     report = K.table_report(spark.createDataFrame([(1, "x"), (2, None)], "a int, b string").orderBy("a"), "T")
     assert report == "T\n=\na  b\n-  -\n1  x\n2"
+    many = K.table_report(spark.range(7), "T", 5).split("\n")
+    assert len(many) == 10 and many[-1] == "... and 2 more rows" and "more" not in K.table_report(spark.range(5), "T", 5)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lexiforge.functions import text as T
 from lexiforge.functions import urls as U
 from lexiforge.operators import chunking as C
+from lexiforge.operators import flat_text as P
 
 
 def apply(spark, fn, values, kind="string"):
@@ -246,3 +247,9 @@ def test_logger(tmp_path, capsys):
     log.info("high")
     assert logger("lexiforge.test") is log and len(log.handlers) == 2
     assert "low" in (tmp_path / "a.log").read_text() and "low" not in capsys.readouterr().err
+
+
+def test_long_lines_lose_no_words(spark):
+    line = "3. Heading words " + " ".join(f"w{i}" for i in range(120_000))
+    got = spark.createDataFrame([(line,)], "line string").select(P.split_merged(F.col("line")).alias("p")).first().p
+    assert " ".join(got) == line and len(got[0].split()) == P.HEAD_WORDS

@@ -1,6 +1,7 @@
 """Page cleaning on hand-made pages."""
 
 from lexiforge.functions import dom
+from lexiforge.operators import links as L
 from lexiforge.operators import web as W
 
 PAGE = """<html><head><title> » My page – </title><meta property="og:description" content=" About it "></head><body>
@@ -15,23 +16,39 @@ PAGE = """<html><head><title> » My page – </title><meta property="og:descript
 
 
 def test_dom_nests_as_written():
-    root = dom.parse("<p>a<b>b<p>c</p>d</p>e<br>f</i>")
-    p = root.find("p")
-    assert p.text(" ") == "a b c d" and root.text(" ") == "a b c d e f"
-    assert [e.name for e in root.descendants()] == ["p", "b", "p", "br"]
+    page = dom.parse("<p>a<b>b<p>c</p>d</p>e<br>f</i>")
+    p = next(page.named(("p",)))
+    assert page.text(p, " ") == "a b c d" and page.text(0, " ") == "a b c d e f"
+    assert [page.name[i] for i in page.below()] == ["p", "b", "p", "br"]
+    assert (page.size(p), page.count(p), page.size(0)) == (4, 4, 6)
     assert dom.parse(None).text() == ""
+    page.remove(lambda i: page.name[i] == "b")
+    assert page.text() == "aef" and [page.name[i] for i in page.below()] == ["p", "br"]
 
 
 def test_visible_text():
     assert W.visible_text("<p> a </p><style>x</style><noscript>n</noscript>b<script>c</script>") == "a b"
 
 
-def test_links_before_cleaning():
-    found = W.links(dom.parse(PAGE), "http://h.example/base")
-    assert [x["url"] for x in found["external_links"]] == ["https://o.example/a"]
-    assert found["pdf_links"] == [{"text": "The file", "url": "http://h.example/f.pdf?x=1"}]
-    assert found["internal_links"] == []
-    assert [x["url"] for x in W.links(dom.parse(PAGE), "http://h.example/sub")["internal_links"]] == ["http://h.example/sub/deep"]
+def kinds(spark, base):
+    rows = L.page_links(spark.createDataFrame([(1, base, PAGE)], "page_id int, url string, html string")).orderBy("pos").collect()
+    return {k: [{"text": r.text, "url": r.url} for r in rows if r.kind == k] for k in ("pdf", "external", "internal")}
+
+
+def test_links_before_cleaning(spark):
+    found = kinds(spark, "http://h.example/base")
+    assert [x["url"] for x in found["external"]] == ["https://o.example/a"]
+    assert found["pdf"] == [{"text": "The file", "url": "http://h.example/f.pdf?x=1"}]
+    assert found["internal"] == []
+    assert [x["url"] for x in kinds(spark, "http://h.example/sub")["internal"]] == ["http://h.example/sub/deep"]
+
+
+def test_links_as_they_are_written(spark):
+    source = "<a href='../up/x.html'>go up</a><a href=\"y.html\">unclosed <a class=q href=z/./w.html>the next</a><a href='mailto:a@b.c'>mail us</a><a href='MAILTO:a@b.c'>mail more</a><a href='http://[bad'>bad one</a>"
+    df = spark.createDataFrame([(1, "http://h.example/a/b/c.html", source), (2, None, None), (3, "http://h.example/a", "<p>none</p>")], "page_id long, url string, html string")
+    rows = {r.page_id: [(x.text, x.url) for x in r.links] for r in W.page_targets(df).collect()}
+    want = [("go up", "http://h.example/a/up/x.html"), ("unclosed the next mail us mail more bad one", "http://h.example/a/b/y.html"), ("the next", "http://h.example/a/b/z/w.html")]
+    assert rows[1][:3] == want and rows[2] == rows[3] == []
 
 
 def test_clean_pages(spark):
@@ -61,11 +78,22 @@ def test_linked_pages(spark):
 
 def test_container_choice():
     long = "word " * 60
-    assert W.main_container(dom.parse(f"<div>{long}</div><div id=content>{long}x</div><article>a</article>")).name == "article"
-    assert W.main_container(dom.parse(f"<div>{long}{long}</div><div class='a content'>{long}</div>")).attrs["class"] == "a content"
-    assert W.main_container(dom.parse("<body><div>short</div></body>")).name == "body"
+
+    def chosen(source):
+        page = dom.parse(source)
+        return page.name[W.main_container(page)], page.attrs[W.main_container(page)].get("class")
+
+    assert chosen(f"<div>{long}</div><div id=content>{long}x</div><article>a</article>") == ("article", None)
+    assert chosen(f"<div>{long}{long}</div><div class='a content'>{long}</div>") == ("div", "a content")
+    assert chosen("<body><div>short</div></body>") == ("body", None)
+    assert chosen(f"<div class=x>{long}</div><div class=y>{long}</div>") == ("div", "x")
 
 
 def test_headings_once():
-    root = dom.parse("<h1>Same one</h1><h2>Same one</h2><h3>abc</h3><h2>" + "w " * 13 + "</h2>")
-    assert W.headings(root) == ["Same one"]
+    page = dom.parse("<h1>Same one</h1><h2>Same one</h2><h3>abc</h3><h2>" + "w " * 13 + "</h2>")
+    assert W.headings(page) == ["Same one"]
+
+
+def test_visible_words(spark):
+    df = spark.createDataFrame([("<p>one two</p><noscript>no</noscript><script>var x</script>three",), (None,)], "html string")
+    assert [r[0] for r in df.select(W.visible_words("html")).collect()] == [3, 0]
