@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import Staging
+from .staging import Staging, tidy
 
 #: Pages with different main parts from which a wrapper's constant slots are believed.
 DISTINCT = 5
@@ -625,6 +625,7 @@ def _cleared(chars, links, talk, total):
     return F.when(talk, chars >= total).otherwise((2 * chars >= total) & (2 * links < chars))
 
 
+@tidy
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for each row of ``pages`` (page_id, url, html)."""
     staging = Staging(pages.sparkSession, "html-extract")

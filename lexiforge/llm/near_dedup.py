@@ -47,7 +47,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from .components import components
 from .packed import pack, unpack
 from .shingles import mix, shingle_sets
-from .staging import Staging
+from .staging import Staging, tidy
 
 BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
@@ -334,6 +334,7 @@ def _classes(docs: DataFrame, percent: int, staging: Staging) -> tuple[DataFrame
     return sketch, staging.put(placed.join(least, "component").select("fp", "component", F.col("least").alias("rep")), "component")
 
 
+@tidy
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (doc_id, text)."""
     staging = Staging(docs.sparkSession, "near-dedup")
@@ -345,6 +346,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+@tidy
 def keep_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row of each component, of those with its smallest doc_id; texts without shingles and rows without doc_id stay.
 

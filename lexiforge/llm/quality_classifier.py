@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .shingles import _powers, mix
-from .staging import Staging
+from .staging import Staging, tidy
 
 #: Rows that the scorer is fitted on, at most.
 SAMPLE = 8000
@@ -452,6 +452,7 @@ def _judged(docs: DataFrame, labels: DataFrame | None, rest: Column, sample: int
     return scored.withColumn("kept", (F.col("unfit") < 0.5) & (F.col("hostile") < 0.5))
 
 
+@tidy
 def quality_scores(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
     """``doc_id, unfit, hostile, kept`` for each row of ``docs`` (doc_id, text).
 
@@ -461,6 +462,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame | None = None, sample: int
     return _judged(docs.select("doc_id", "text"), labels, own, sample).select("rest.doc_id", "unfit", "hostile", "kept")
 
 
+@tidy
 def keep_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns unchanged."""
     kept = _judged(docs, labels, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), SAMPLE).where("kept")

@@ -50,7 +50,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .packed import pack, unpack
 from .shingles import _powers, mix
-from .staging import Staging
+from .staging import Staging, tidy
 
 SPAN, GRAM = 200, 64
 REACH = SPAN - GRAM
@@ -561,12 +561,14 @@ def _with_spans(docs: DataFrame, group: int) -> DataFrame:
     return texts.join(repeated_strings(texts, staging, group), "key", "left").select("packed", "spans", "rest")
 
 
+@tidy
 def suffix_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``docs`` (doc_id, text)."""
     joined = _with_spans(docs.select("doc_id", "text"), group).select("packed", "spans", F.col("rest.doc_id").cast("long").alias("doc_id"))
     return joined.mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+@tidy
 def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """The rows of ``docs`` with repeated strings cut from their texts, and n_chars, if there, set anew."""
     joined = _with_spans(docs, group)
