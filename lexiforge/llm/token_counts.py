@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import Staging
+from .staging import Staging, tidy
 
 #: A block ends with the document that brings it to so many characters.
 BLOCK_CHARS = 24_000_000
@@ -125,6 +125,12 @@ BLOCKS_DDL = (
 )
 
 
+#: Blocks whose rows of one pre-token meet in a task.
+TOGETHER = 1000
+#: Pre-tokens whose counts a task remembers before it starts afresh.
+KNOWN = 1_000_000
+
+
 class _Block:
     def __init__(self):
         self.vocabulary: dict[str, int] = defaultdict(count().__next__)
@@ -207,6 +213,8 @@ def _count_pieces(path: str):
 
         for batch in batches:
             pieces = batch.column(0).to_pylist()
+            if len(known) > KNOWN:
+                known.clear()
             fresh = [p for p in dict.fromkeys(pieces) if p not in known]
             if fresh:
                 known.update(zip(fresh, (len(e) for e in tok.encode_batch(fresh, add_special_tokens=False)), strict=True))
@@ -243,12 +251,15 @@ def _sum_block(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(row["doc_id"], pa.int64()), pa.array(row["n_bytes"], pa.int64()), pa.array(total)], schema=COUNTED)
 
 
+@tidy
 def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` for each row of ``docs`` (doc_id, text) under a word vocabulary file."""
     staging = Staging(docs.sparkSession, "token-counts")
     blocks = staging.put(docs.select("doc_id", "text").mapInArrow(_to_blocks(tokenizer), BLOCKS_DDL), "blocks")
     rows = blocks.select("block", F.posexplode("vocabulary").alias("at", "piece")).select("piece", "block", "at")
-    counts = rows.repartition("piece").mapInArrow(_count_pieces(tokenizer), "block string, at array<int>, n array<int>")
+    # a pre-token that every block holds is counted in as many tasks as keep its rows few
+    deals = F.lit(-(-blocks.count() // TOGETHER) or 1)
+    counts = rows.repartition("piece", F.pmod(F.xxhash64("block"), deals)).mapInArrow(_count_pieces(tokenizer), "block string, at array<int>, n array<int>")
     summed = (
         blocks.drop("vocabulary")
         .groupBy("block")
