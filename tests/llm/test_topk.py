@@ -43,3 +43,18 @@ def test_few_rows_and_none(spark):
 def test_large_components_stay_exact(spark):
     rows = [(0, [30000.0, -30000.5]), (1, [30000.25, 30000.0]), (2, [-1.0, 1.0])]
     assert run(spark, rows) == brute(rows)
+
+
+def test_scores_beyond_64_bits_are_the_nearest(spark):
+    rows = [(0, [1e13, 0.0]), (1, [-3e13, 1.0]), (2, [2e13, 0.0]), (3, [1e30, 0.0]), (4, [0.0, 1.0]), (5, [1.0, 0.0])]
+    got = run(spark, rows)
+    top, low = 2**63 - 1, -(2**63)
+    assert [r[2:] for r in got] == [(2, top), (3, top), (5, 256 * int(np.floor(256 * float(np.float32(1e13))))), (4, 0), (1, low)]
+
+
+def test_many_deals_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    monkeypatch.setattr(topk, "CANDIDATES", 16)
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 4)]) for i in range(400)]
+    assert run(spark, rows) == brute(rows)
