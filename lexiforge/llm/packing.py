@@ -8,14 +8,18 @@ the search for the next larger residual jumps over levels where every bin is in
 conflict, however many bins a hot source fills.
 
 Documents longer than a bin are cut into full bins and a rest; no word is
-dropped. Only lengths and keys reach the packer. It works in shards of about
-SHARD pieces dealt by the hash of the row, so a shard is bounded and a hot
-source is spread over all of them.
-
-Defined results for odd input: texts without words (and null) are not packed
-and come with a null bin; a null source conflicts with nothing; repeated rows
-are duplicates of each other, so they go to different bins; empty tables give
-none; other columns don't take part.
+dropped. Only lengths and keys reach the packer, from a small table that is
+written first, so texts are split once. It works in shards of about SHARD pieces
+dealt by the hash of the row's number in that table, so a shard is bounded and
+a hot source or a doc_id of very many rows is spread over all of them.
+
+Defined results for odd input: texts without words (and null), and lengths that
+are null or not positive, are not packed and come with a null bin and length 0;
+a null source conflicts with nothing; rows without doc_id, and rows that share
+one, are packed each by itself; repeated rows are duplicates of each other, so
+they go to different bins; empty tables give none; other columns don't take
+part. Which of equally good bins a piece takes, and the names of bins, follow
+the order of the rows.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .staging import Staging, tidy
+
 #: Words in a bin.
 CAPACITY = 2048
 #: Pieces that one task packs, about.
@@ -91,7 +97,7 @@ PACKED = "doc_id long, piece int, from_word long, length long, bin_id string, bi
 def _pack_shard(capacity: int):
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        rows.sort(key=lambda r: (-r["length"], r["doc_id"] if r["doc_id"] is not None else -1, r["piece"]))
+        rows.sort(key=lambda r: (-r["length"], r["doc_id"] if r["doc_id"] is not None else -1, r["key"], r["piece"]))
         bins = best_fit([r["length"] for r in rows], [r["source"] for r in rows], [r["cluster"] for r in rows], capacity)
         words = Counter()
         for r, b in zip(rows, bins, strict=True):
@@ -119,27 +125,31 @@ def text_cluster(text: Column) -> Column:
     return F.xxhash64(F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))))
 
 
+@tidy
 def best_fit_packing(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
     """Bins for the rows of ``items`` (doc_id, length, source, cluster)."""
-    numbered = items.select("doc_id", "length", "source", "cluster")
-    shards = max(1, -(-numbered.count() // shard))
+    staging = Staging(items.sparkSession, "packing")
+    # written with its number, so that a row keeps it whatever is computed again
+    lengths = items.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("length").cast("long").alias("length"), "source", "cluster")
+    numbered = staging.put(lengths, "lengths")
     last = F.floor((F.col("length") - 1) / capacity).cast("int")
-    pieces = numbered.where("length > 0").select(
-        "doc_id", "source", "cluster", "length", F.explode(F.sequence(F.lit(0), last)).alias("piece"), last.alias("last")
-    )
+    shards = max(1, -(-numbered.where("length > 0").count() // shard))
     start = F.col("piece").cast("long") * capacity
-    pieces = pieces.select("doc_id", "source", "cluster", "piece", start.alias("from_word"), F.least(F.lit(capacity).cast("long"), F.col("length") - start).alias("length"))
+    pieces = numbered.where("length > 0").select("key", "doc_id", "source", "cluster", "length", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    pieces = pieces.withColumns({"from_word": start, "length": F.least(F.lit(capacity).cast("long"), F.col("length") - start)})
     full = pieces.where(F.col("length") == capacity).select(
-        "doc_id", "piece", "from_word", "length", F.concat_ws("-", F.lit("full"), "doc_id", "piece", F.monotonically_increasing_id()).alias("bin_id"), F.lit(capacity).cast("long").alias("bin_words")
+        "doc_id", "piece", "from_word", "length", F.concat_ws("-", F.lit("full"), "key", "piece").alias("bin_id"), F.lit(capacity).cast("long").alias("bin_words")
     )
-    rest = pieces.where(F.col("length") < capacity).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    rest = pieces.where(F.col("length") < capacity).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     packed = rest.groupBy("shard").applyInArrow(_pack_shard(capacity), PACKED)
-    empty = numbered.where("length = 0 or length is null").select(
-        "doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("from_word"), F.lit(0).cast("long").alias("length"), F.lit(None).cast("string").alias("bin_id"), F.lit(0).cast("long").alias("bin_words")
+    none = F.lit(0).cast("long")
+    empty = numbered.where("length <= 0 or length is null").select(
+        "doc_id", F.lit(0).alias("piece"), none.alias("from_word"), none.alias("length"), F.lit(None).cast("string").alias("bin_id"), none.alias("bin_words")
     )
     return packed.unionByName(full).unionByName(empty)
 
 
+@tidy
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
     """Bins for whole documents (doc_id, text, source), with words as the length and equal texts as clusters."""
     return best_fit_packing(

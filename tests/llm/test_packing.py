@@ -40,6 +40,33 @@ def test_tightest_compatible_bin():
         assert abs(len(held) - naive(length, source, cluster, 100)[0]) <= 2, trial
 
 
+def test_every_placement_is_the_tightest():
+    rng = random.Random(7)
+    for _ in range(40):
+        n = rng.randint(1, 120)
+        length = sorted((rng.randint(1, 60) for _ in range(n)), reverse=True)
+        source = [rng.choice([None, "hot", "hot", "a", "b", "c", "d"]) for _ in range(n)]
+        cluster = [rng.choice([1, 2, None, None, 100 + i]) for i in range(n)]
+        left, held = {}, defaultdict(set)
+        for size, s, c, at in zip(length, source, cluster, P.best_fit(length, source, cluster, 100), strict=True):
+            keys = {k for k in (("s", s), ("c", c)) if k[1] is not None}
+            fits = [r for b, r in left.items() if r >= size and not held[b] & keys]
+            assert left[at] == min(fits) if at in left else not fits
+            assert not held[at] & keys
+            left[at] = left.get(at, 100) - size
+            held[at] |= keys
+
+
+def test_rows_of_one_doc_id_are_spread(spark):
+    rows = [(None, 5, "s", i) for i in range(300)] + [(7, 5, "s", 1000 + i) for i in range(300)] + [(8, -3, "s", 1), (9, None, "s", 2), (10, 0, None, 3)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id int, length int, source string, cluster long, key string").repartition(4)
+    out = P.best_fit_packing(df, capacity=50, shard=40).collect()
+    assert len(out) == len(rows)
+    sizes = Counter(r.bin_id.split("-")[0] for r in out if r.bin_id)
+    assert len(sizes) > 10 and max(sizes.values()) < 90
+    assert sorted(r.doc_id for r in out if r.bin_id is None) == [8, 9, 10] and all(r.length == 0 for r in out if r.bin_id is None)
+
+
 def test_documents(spark):
     rng = random.Random(1)
     rows = [(i, " ".join(["w"] * rng.randint(0, 400)) + f" {i}", rng.choice(["hot", "b", None])) for i in range(200)]
