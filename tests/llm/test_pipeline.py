@@ -1,9 +1,11 @@
 """Each stage of the pipeline against a brute-force version, on its own input."""
 
+import random
+
 import corpus_pipeline
 import pytest
 
-from lexiforge.llm import quality_classifier, quality_rules
+from lexiforge.llm import quality_classifier, quality_rules, staging
 from tests.llm import test_near, test_suffix
 from tests.llm.test_rules import brute as measured
 
@@ -66,3 +68,40 @@ def test_run_gives_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, FOLDER)
     key = lambda r: (r.doc_id, r.piece, r.length)
     assert sorted(map(key, got.collect())) == sorted(map(key, stages[5].collect()))
+
+
+def test_odd_documents(spark, tmp_path):
+    """Nulls in any column, repeated rows, clashing names, an empty table; nothing of a stage stays behind."""
+    before, rng = set(_names(spark)), random.Random(3)
+    plain = [" ".join(rng.choice("the of and plain words make some sense here today while others rest".split()) + rng.choice(["", "s", "ed", "ing"]) + str(rng.randint(0, 99)) * (rng.random() < 0.3) for _ in range(120)) for _ in range(12)]
+    rows = [(i, t, "en", "s1", 1) for i, t in enumerate(plain)] + [(3, plain[3], "en", "s1", 1), (4, plain[5], None, None, None), (None, plain[7], "en", "s2", 1), (50, None, None, None, None), (None, None, None, None, None), (51, "", "en", "s", 0)]
+    for name, some in (("all", rows), ("none", [])):
+        folder = tmp_path / name
+        docs = spark.createDataFrame([(*r, "x", 0) for r in some], "doc_id long, text string, lang string, source string, n_chars int, key string, kept int")
+        docs.write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([(1, 1, 0), (None, None, 1), (3, 0, None)] if some else [], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+        out = corpus_pipeline.run(spark, str(folder)).collect()
+        assert bool(out) == bool(some)
+        kept = {r.doc_id for r in out}
+        assert kept <= {r[0] for r in some} and (not some or ({0, 1, 2, 3, None} <= kept and not {50, 51} & kept))
+    assert [n for n in set(_names(spark)) - before if not n.startswith("pipeline-")] == []
+
+
+def test_failed_operators_leave_nothing(spark):
+    before = set(_names(spark))
+
+    @staging.tidy
+    def operator():
+        s = staging.Staging(spark, "broken")
+        s.put(spark.range(3), "table")
+        raise ValueError("on purpose")
+
+    with pytest.raises(ValueError, match="on purpose"):
+        operator()
+    assert set(_names(spark)) == before and staging._scopes == []
+
+
+def _names(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging._home(spark))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
