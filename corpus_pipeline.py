@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lexiforge.llm import near_dedup, packing, quality_classifier, quality_rules, suffix_dedup
-from lexiforge.llm.staging import Staging
+from lexiforge.llm.staging import Staging, scope, tidy
 
 #: Word-shingle similarity, in percent, from which documents are near duplicates.
 NEAR = 80
@@ -48,12 +48,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@tidy
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; each stage's result is written and reread."""
+    """Applies the stages to ``documents``; each stage's result is written and reread.
+
+    Null and empty texts, as all under ten words, are rejected by the rules; repeated rows are near duplicates of each
+    other; rows that share a doc_id, or have none, are judged each by its own text; columns beyond those of
+    documents are carried up to the last stage; empty tables give none.
+    """
     staging = Staging(spark, "pipeline")
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = staging.put(stage(spark, docs, sf_dir), name)
+        with scope():  # what a stage wrote for itself goes with it
+            docs = staging.put(stage(spark, docs, sf_dir), name)
         if before:
             staging.drop(before)
         before = name
