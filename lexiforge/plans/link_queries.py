@@ -36,10 +36,14 @@ def _pages(spark, sf_dir):
 
 _BARE = "regexp_replace(base, '[?#].*$', '')"
 _FOLDER = "regexp_replace(CASE WHEN regexp_matches(bare, '^[a-z]+://[^/]*$') THEN bare || '/' ELSE bare END, '[^/]*$', '')"
-_LINKS = rf"""
+
+
+def links_sql(pages: str) -> str:
+    """WITH clauses up to ``links``, the targets of pages by their first anchors, for markup without nested anchors."""
+    return rf"""
 WITH m AS (
   SELECT page_id, url AS base, unnest(found) AS a, unnest(range(len(found))) AS nth
-  FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*?href=(?:"[^"]*"|''[^'']*'')[^>]*>.*?</a>') AS found FROM {_HTML})
+  FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*?href=(?:"[^"]*"|''[^'']*'')[^>]*>.*?</a>') AS found FROM {pages})
 ), a AS (
   SELECT page_id, base, {_BARE} AS bare, nth, trim(regexp_extract(a, '(?is)href=["'']([^"'']*)["'']', 1)) AS href, regexp_extract(a, '(?is)>(.*)</a>', 1) AS label FROM m
 ), d AS (
@@ -58,6 +62,9 @@ WITH m AS (
     WHEN {_NET.format("url")} = {_NET.format("base")} AND starts_with({_PATH.format("url")}, {_PATH.format("base")} || '/') AND {_PATH.format("url")} <> {_PATH.format("base")} THEN 'internal' END AS kind
   FROM f WHERE n = 1
 )"""
+
+
+_LINKS = links_sql(_HTML)
 _KEPT = _LINKS + ", kept AS (SELECT * FROM links WHERE kind IS NOT NULL AND length(text) >= 3)"
 _SKIP = "regexp_matches(url, '(?i)(?:^mailto:)|(?:twitter\\.com/(intent|home\\?status))')"
 _CAPPED = _KEPT + f", capped AS (SELECT *, CAST(row_number() OVER (PARTITION BY page_id, kind ORDER BY pos) AS INTEGER) AS rank FROM kept WHERE NOT {_SKIP})"

@@ -11,7 +11,8 @@ from ..operators import chunking as C
 from ..operators import documents as D
 from ..operators import flows, layout, models, section_roles, web
 from ..sources.tables import table
-from .registry import Registry
+from .link_queries import links_sql
+from .registry import Registry, tokens, words
 
 R = Registry()
 
@@ -38,14 +39,72 @@ def _resources(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(F.col("page_id").alias("resource_id"), "url", F.lit("").alias("title"), "html")
 
 
-@R.add()
+def _strings(x: str) -> str:
+    """SQL of the strings between the tags of a piece of markup, stripped, without empty ones."""
+    bare = "replace(replace(replace(x, '&quot;', '\"'), '&middot;', '·'), '&amp;', '&')"
+    return rf"list_filter(list_transform(regexp_split_to_array({x}, '<[^>]*>'), lambda x: regexp_replace({bare}, '^\s+|\s+$', '', 'g')), lambda x: x <> '')"
+
+
+def _text(x: str) -> str:
+    return f"array_to_string({_strings(x)}, ' ')"
+
+
+def _squeezed(x: str) -> str:
+    return rf"trim(regexp_replace({x}, '[\s\x{{a0}}]+', ' ', 'g'))"
+
+
+# the pages hold one article: a heading, and paragraphs of which those that begin in bold are never closed and hold all after them
+_ARTICLES = rf"""
+articles AS (
+  SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*?)(?:</article>|<footer|$)', 1) AS art, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages
+), cut AS (
+  SELECT page_id, url, title, regexp_extract(art, '(?s)<h1>(.*?)</h1>', 1) AS h1, string_split(regexp_replace(art, '(?s)^.*?</h1>', ''), '<p>')[2:] AS parts FROM articles
+), paragraphs AS (
+  SELECT page_id, list_transform(range(1, len(parts) + 1), lambda i: CASE WHEN contains(parts[i], '</p>') THEN {_text("parts[i]")} ELSE {_text("array_to_string(parts[i:], '<p>')")} END) AS texts FROM cut
+)"""
+_EDGE = r"[\s»›«|·–—:\-]+"
+_LISTED = "string_agg(CASE WHEN kind = '{0}'{1} THEN text || ' (' || url || ')' END, ' | ' ORDER BY pos)"
+
+
+@R.add(
+    links_sql("pages")
+    + f""", told AS (SELECT *, row_number() OVER (PARTITION BY page_id, kind ORDER BY pos) AS nth FROM links WHERE kind IS NOT NULL AND length(text) >= 3),
+listed AS (SELECT page_id, {_LISTED.format('pdf', '')} AS pdf, {_LISTED.format('external', '')} AS ext, {_LISTED.format('external', ' AND nth <= 10')} AS ext10, {_LISTED.format('internal', '')} AS inner_ FROM told GROUP BY 1),{_ARTICLES},
+p AS (
+  SELECT page_id, {_squeezed(f"regexp_replace(regexp_replace({_text('title')}, '^{_EDGE}', ''), '{_EDGE}$', '')")} AS title,
+         CASE WHEN {words(_squeezed(_text('h1')))} <= 15 THEN {_squeezed(_text('h1'))} ELSE '' END AS heading, {_squeezed("array_to_string(texts, ' ')")} AS body
+  FROM cut JOIN paragraphs USING (page_id)
+), c AS (
+  SELECT *, concat_ws(chr(10) || chr(10), CASE WHEN title <> '' THEN 'TITLE: ' || title END, nullif(CASE WHEN body = '' THEN '' WHEN heading <> '' THEN '## ' || heading || chr(10) || body ELSE body END, ''),
+    nullif(concat_ws(chr(10), 'PDF LINKS: ' || pdf, 'EXTERNAL LINKS: ' || ext10), '')) AS clean_text
+  FROM p LEFT JOIN listed USING (page_id)
+)
+SELECT page_id AS resource_id, 'success' AS clean_status, title AS clean_title, '' AS description, CASE WHEN body <> '' THEN heading ELSE '' END AS headings, body AS body_text, clean_text,
+  coalesce(pdf, '') AS pdf_links, coalesce(ext, '') AS external_links, coalesce(inner_, '') AS internal_links,
+  {words('body')} AS word_count, CAST(length(clean_text) AS INTEGER) AS char_count, {tokens('clean_text')} AS token_count, CASE WHEN {tokens('clean_text')} <= 3796 THEN 'single_pass' ELSE 'map_reduce' END AS route_hint
+FROM c"""
+)
 def page_clean(spark, sf_dir):
-    return web.clean_pages(_resources(spark, sf_dir))
+    out = web.clean_pages(_resources(spark, sf_dir))
+    links = [web.listed(F.col(f"{k}_links")).alias(f"{k}_links") for k in ("pdf", "external", "internal")]
+    names = ["resource_id", "clean_status", "clean_title", "description", F.array_join("headings", " | ").alias("headings"), "body_text", "clean_text", *links]
+    return out.select(*names, "word_count", "char_count", "token_count", "route_hint")
 
 
-@R.add()
+@R.add(
+    f"""WITH {_ARTICLES}, p AS (
+  SELECT page_id, array_to_string({_strings('title')}, '') AS title, array_to_string({_strings('h1')}, '') AS heading,
+         array_to_string(list_filter(list_prepend({_text('h1')}, texts), lambda x: length(x) > 20), ' ') AS body
+  FROM cut JOIN paragraphs USING (page_id)
+), c AS (
+  SELECT *, concat_ws(chr(10) || chr(10), 'TITLE: ' || title, 'DESCRIPTION: ', 'HEADINGS: ' || CASE WHEN heading <> '' THEN heading ELSE 'N/A' END, 'CONTENT: ' || body, 'PDF LINKS: None', 'EXTERNAL LINKS: None') AS clean_text FROM p
+)
+SELECT page_id AS resource_id, title, heading AS headings, body AS body_text, clean_text, {words('body')} AS word_count, CAST(length(clean_text) AS INTEGER) AS char_count, {tokens('clean_text')} AS token_count,
+  CASE WHEN {tokens('clean_text')} <= 3796 THEN 'single_pass' ELSE 'map_reduce' END AS route_hint FROM c"""
+)
 def linked_page_clean(spark, sf_dir):
-    return web.clean_linked_pages(_resources(spark, sf_dir))
+    out = web.clean_linked_pages(_resources(spark, sf_dir))
+    return out.select("resource_id", "title", F.array_join("headings", " | ").alias("headings"), "body_text", "clean_text", "word_count", "char_count", "token_count", "route_hint")
 
 
 def _chunks(spark, sf_dir):
