@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import taxonomy as X
 from ..functions import text as T
+from ..functions.fixed_values import KNOWN_SECTIONS
 from ..operators import chunking as C
 from ..operators import flat_text as P
 from ..operators import tagging as G
@@ -110,17 +111,133 @@ def greedy_pack(spark, sf_dir):
     return groups.select("doc_id", (F.col("i") + 1).alias("grp"), F.size("own").cast("long").alias("units"), total.alias("tokens"))
 
 
-@R.add()
+_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+_HEAD = (
+    f"(l <> '' AND length(l) <= 120 AND (regexp_matches(l, '^#{{1,6}}\\s+\\S') OR regexp_matches(l, '^[A-Z](?:[A-Z\\s\\d:\\-]{{3,}}|[A-Z\\s\\d:\\-]{{2}})$')"
+    " OR regexp_matches(l, '^\\d+(?:\\.\\d+)*[.)]\\s+\\S')))"
+)
+
+
+def _label(title: str, part: str, total: str, more: str) -> str:
+    name = f"'[Section: ' || CASE WHEN coalesce({title}, '') = '' THEN 'Preamble' ELSE {title} END"
+    return f"{name} || CASE WHEN {total} = 1 THEN ']' ELSE ' — Part ' || {part} || ' of ' || {total} || CASE WHEN {more} THEN ', Paragraph continued' ELSE '' END || ']' END"
+
+
+# lines to sections; sections whole, or as packed paragraphs, or as packed sentences; runs of whole small sections merged
+_CHUNKS = rf"""
+WITH RECURSIVE lines AS (
+  SELECT doc_id, unnest(cut) AS line, unnest(range(len(cut))) AS i
+  FROM (SELECT doc_id, regexp_split_to_array(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]') AS cut FROM documents WHERE regexp_matches(text, '\S'))
+), marked AS (
+  SELECT *, sum(CAST(h AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS sec FROM (SELECT *, {_HEAD} AS h FROM (SELECT *, {_STRIP.format("line")} AS l FROM lines))
+), secs AS (
+  SELECT doc_id, sec, max(CASE WHEN h THEN l END) AS heading, {_STRIP.format("coalesce(string_agg(CASE WHEN NOT h THEN line END, chr(10) ORDER BY i), '')")} AS body FROM marked GROUP BY 1, 2
+), sized AS (
+  SELECT *, {tokens("t")} AS n FROM (SELECT *, concat_ws(chr(10), heading, body) AS t FROM secs WHERE heading IS NOT NULL OR body <> '')
+), paras AS (
+  SELECT doc_id, sec, heading, n, i, p, {tokens("p")} AS tok FROM (
+    SELECT doc_id, sec, heading, n, unnest(ps) AS p, unnest(range(len(ps))) AS i
+    FROM (SELECT *, list_filter(list_transform(regexp_split_to_array(body, '\n\s*\n'), lambda x: {_STRIP.format("x")}), lambda x: x <> '') AS ps FROM sized WHERE n > 800))
+), tiered AS (
+  SELECT *, CASE WHEN max(tok) OVER (PARTITION BY doc_id, sec) <= 800 THEN 2 ELSE 3 END AS tier FROM paras
+), pieces AS (
+  SELECT doc_id, sec, heading, n, tier, i, 0 AS j, p AS u, tok FROM tiered WHERE tok <= 800
+  UNION ALL
+  SELECT doc_id, sec, heading, n, tier, i, j, u, {tokens("u")} FROM (
+    SELECT doc_id, sec, heading, n, tier, i, unnest(ss) AS u, unnest(range(len(ss))) AS j FROM (
+      SELECT *, list_filter(list_transform(string_split(regexp_replace(p, '([.!?])\s+([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: {_STRIP.format("x")}), lambda x: x <> '') AS ss FROM tiered WHERE tok > 800))
+), turned AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, sec ORDER BY i, j) AS rn FROM pieces
+), run AS (
+  SELECT doc_id, sec, rn, tok AS held, 1 AS part FROM turned WHERE rn = 1
+  UNION ALL
+  SELECT t.doc_id, t.sec, t.rn, CASE WHEN r.held + t.tok > 800 THEN t.tok ELSE r.held + t.tok END, CASE WHEN r.held + t.tok > 800 THEN r.part + 1 ELSE r.part END
+  FROM run r JOIN turned t ON t.doc_id = r.doc_id AND t.sec = r.sec AND t.rn = r.rn + 1
+), parts AS (
+  SELECT t.doc_id, t.sec, any_value(heading) AS heading, any_value(n) AS n, any_value(tier) AS tier, part, count(*) AS units,
+         CASE WHEN any_value(tier) = 2 THEN string_agg(u, chr(10) || chr(10) ORDER BY rn) ELSE string_agg(u, ' ' ORDER BY rn) END AS joined
+  FROM (SELECT t.*, r.part FROM turned t JOIN run r USING (doc_id, sec, rn)) t GROUP BY t.doc_id, t.sec, part
+), split AS (
+  SELECT *, max(part) OVER (PARTITION BY doc_id, sec) AS total FROM parts
+), raw AS (
+  SELECT doc_id, sec, 1 AS part, 1 AS total, 1 AS tier, heading AS title, {_label("heading", "1", "1", "FALSE")} AS label, {_label("heading", "1", "1", "FALSE")} || chr(10) || t AS text, n AS token_count,
+         'Tier 1 — section fits (' || n || ' <= 800 tokens)' AS reason FROM sized WHERE n <= 800
+  UNION ALL
+  SELECT doc_id, sec, part, total, tier, heading, label, text, {tokens("text")}, CASE WHEN tier = 2 THEN 'Tier 2 — section too large (' || n || ' tokens); packed ' || units || ' paragraph(s) into part ' || part || '/' || total
+         ELSE 'Tier 3 — paragraph(s) too large even after section split; sentence-packed part ' || part || '/' || total END
+  FROM (SELECT *, label || chr(10) || joined AS text FROM (SELECT *, {_label("heading", "part", "total", "tier = 3 AND part > 1")} AS label FROM split))
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sec, part) AS rn FROM raw
+), merging AS (
+  SELECT doc_id, rn, tier, token_count AS held, 1 AS g FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT c.doc_id, c.rn, c.tier, CASE WHEN m.tier <> 1 OR c.tier <> 1 OR m.held + c.token_count > 800 THEN c.token_count ELSE m.held + c.token_count END,
+         CASE WHEN m.tier <> 1 OR c.tier <> 1 OR m.held + c.token_count > 800 THEN m.g + 1 ELSE m.g END
+  FROM merging m JOIN numbered c ON c.doc_id = m.doc_id AND c.rn = m.rn + 1
+), merged AS (
+  SELECT doc_id, g, count(*) AS k, CAST(sum(token_count) AS INTEGER) AS token_count, max(tier) AS tier, first(title ORDER BY rn) AS title, first(label ORDER BY rn) AS label, first(text ORDER BY rn) AS text,
+         max(part) AS part, max(total) AS total, first(reason ORDER BY rn) AS reason, string_agg(nullif(title, ''), ' | ' ORDER BY rn) AS titles, string_agg(text, chr(10) || chr(10) ORDER BY rn) AS texts, string_agg(CAST(token_count AS VARCHAR), ', ' ORDER BY rn) AS counts
+  FROM (SELECT n.*, m.g FROM numbered n JOIN merging m USING (doc_id, rn)) GROUP BY 1, 2
+), chunks AS (
+  SELECT doc_id, CAST(g - 1 AS INTEGER) AS index, CASE WHEN k = 1 THEN text ELSE l || chr(10) || chr(10) || texts END AS text, token_count, CAST(tier AS INTEGER) AS tier, title AS section_title, CASE WHEN k = 1 THEN label ELSE l END AS part_label,
+         k = 1 AND part > 1 AS is_continuation, CAST(CASE WHEN k = 1 THEN part ELSE 1 END AS INTEGER) AS parent_section_part, CAST(CASE WHEN k = 1 THEN total ELSE 1 END AS INTEGER) AS parent_section_total,
+         CASE WHEN k = 1 THEN reason ELSE 'Tier 1 merge — ' || k || ' small sections combined (' || counts || ' tokens)' END AS tier_reason
+  FROM (SELECT *, CASE WHEN titles IS NULL THEN '[Document Preamble]' ELSE '[Sections: ' || titles || ']' END AS l FROM merged)
+)"""
+
+
+@R.add(_CHUNKS + " SELECT * FROM chunks")
 def chunk_rhetorical(spark, sf_dir):
     return C.chunk_documents(table(spark, sf_dir, "documents"))
 
 
-@R.add()
+@R.add(
+    _CHUNKS
+    + """ SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (tier = 1) AS tier_1, count(*) FILTER (tier = 2) AS tier_2, count(*) FILTER (tier = 3) AS tier_3, min(token_count) AS min_tokens, max(token_count) AS max_tokens,
+  CAST(floor(avg(token_count)) AS INTEGER) AS avg_tokens, coalesce(string_agg(CASE WHEN token_count > 800 THEN index + 1 END, ',' ORDER BY index), '') AS over_threshold, coalesce(string_agg(CASE WHEN token_count < 50 THEN index + 1 END, ',' ORDER BY index), '') AS tiny
+FROM chunks GROUP BY 1"""
+)
 def chunk_report(spark, sf_dir):
-    return C.chunk_report(C.chunk_documents(table(spark, sf_dir, "documents")))
+    joined = {c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",") for c in ("over_threshold", "tiny")}
+    return C.chunk_report(C.chunk_documents(table(spark, sf_dir, "documents"))).withColumns(joined)
+
+
+# lines cut at merged headings, without running heads; headings once a document; runs of short headings are lists; small sections joined
+_FLAT = rf"""
+WITH l0 AS (SELECT doc_id, i, {_STRIP.format("line")} AS line FROM ({_LINES})),
+common AS (SELECT doc_id, line FROM l0 WHERE line <> '' GROUP BY ALL HAVING count(*) >= 3 AND {words("line")} <= 10),
+starts AS (SELECT *, len(regexp_extract_all(line, '\d{{1,2}}\.\s+[A-Z]')) AS n, regexp_matches(line, '^\d{{1,2}}\.\s+[A-Z]') AS lead, list_filter(regexp_split_to_array(line, '\s+'), lambda x: x <> '') AS w FROM l0),
+cut AS (
+  SELECT doc_id, i, unnest(own) AS line, unnest(range(len(own))) AS part FROM (SELECT doc_id, i, CASE
+    WHEN n >= 2 THEN list_filter(list_transform(string_split(regexp_replace(line, '\b(\d{{1,2}}\.\s+[A-Z])', chr(1) || '\1', 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')
+    WHEN n = 1 AND lead AND len(w) > 12 THEN [array_to_string(w[1:12], ' '), array_to_string(w[13:], ' ')] ELSE [line] END AS own FROM starts)
+), kept AS (
+  SELECT c.doc_id, i, part, regexp_replace(c.line, '-\s+', '', 'g') AS line FROM cut c ANTI JOIN common b ON b.doc_id = c.doc_id AND b.line = c.line
+  WHERE length(c.line) >= 3 AND NOT regexp_matches(c.line, '^\d{{1,4}}$|^\d{{1,3}}\s+\d{{1,3}}$')
+), heads AS (
+  SELECT *, {words("line")} AS n, regexp_matches(line, '^\d{{1,2}}(\.\d{{1,2}})*\.\s+[A-Z][a-z].{{1,80}}$') OR regexp_matches(line, '^[A-Z][A-Z\s]{{3,40}}:?$') AS strong, regexp_matches(line, '\d+\.\s+\w.+\d+\.\s+\w') AS two FROM kept
+), flagged AS (
+  SELECT *, CASE WHEN strong THEN n <= 15 AND NOT two ELSE n <= 8 AND NOT two AND NOT (regexp_matches(line, '^\d{{1,2}}\s+[A-Z]') AND n > 2) AND NOT regexp_matches(line, '[,;]$|,\s+\w')
+    AND NOT (regexp_matches(line, '^(Our|This|They|We|It|In|On|By|For|As|At)\s+\w') AND n > 2) AND lower(line) IN ({", ".join(f"'{x}'" for x in KNOWN_SECTIONS)}) END AS head FROM heads
+), once AS (
+  SELECT *, head AND row_number() OVER (PARTITION BY doc_id, line, head ORDER BY i, part) = 1 AS is_heading, row_number() OVER (PARTITION BY doc_id ORDER BY i, part) AS pos FROM flagged
+), turns AS (
+  SELECT *, sum(turn) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM (SELECT *, CAST(coalesce(lag(is_heading) OVER (PARTITION BY doc_id ORDER BY pos), FALSE) <> is_heading AS INTEGER) AS turn FROM once)
+), tagged AS (
+  SELECT doc_id, pos, line, is_heading AND NOT (count(*) OVER (PARTITION BY doc_id, run) > 1 AND max(n) OVER (PARTITION BY doc_id, run) <= 4) AS h FROM turns
+), parted AS (
+  SELECT doc_id, part, max(CASE WHEN h THEN line END) AS heading, trim(regexp_replace(coalesce(string_agg(CASE WHEN NOT h THEN line END, ' ' ORDER BY pos), ''), '[\s\x{{a0}}]+', ' ', 'g')) AS content
+  FROM (SELECT *, sum(CAST(h AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY pos) AS part FROM tagged) GROUP BY 1, 2
+), stands AS (
+  SELECT *, sum(CAST(first AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY part) AS section_no
+  FROM (SELECT *, {words("content")} >= 15 OR row_number() OVER (PARTITION BY doc_id ORDER BY part) = 1 AS first FROM parted WHERE content <> '')
+), out AS (
+  SELECT doc_id, section_no, coalesce(max(CASE WHEN first THEN heading END), '') AS heading, trim(regexp_replace(string_agg(CASE WHEN first THEN content ELSE concat_ws(' ', heading, content) END, ' ' ORDER BY part), '\s+', ' ', 'g')) AS content FROM stands GROUP BY 1, 2
+)
+SELECT doc_id, CAST(section_no AS BIGINT) AS section_no, heading, content, {words("content")} AS word_count, CAST(length(content) AS INTEGER) AS char_count, {tokens("content")} AS token_count FROM out"""
 
 
-@R.add()
+@R.add(_FLAT)
 def flat_sections(spark, sf_dir):
     return P.sections(P.tagged_lines(_pages(spark, sf_dir)))
 
@@ -133,21 +250,54 @@ def _assembled(spark, sf_dir):
     return turns.select("conv_id", C.assemble(parent, of("user"), of("assistant")).alias("text"))
 
 
-@R.add()
+def _linked(role: str, kind: str) -> str:
+    """SQL of the listed items of a role, each behind its own line."""
+    return f"""SELECT conv_id, string_agg(chr(10) || '--- Linked {kind} ' || k || ': ' || turn || ' ---' || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY k) AS t
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations WHERE role = '{role}') GROUP BY 1"""
+
+
+_MARKED = f"""sections AS (
+  SELECT conv_id, label, {_STRIP.format("t")} AS text, part FROM (
+    SELECT conv_id, 'PARENT CONTENT' AS label, 1 AS part, string_agg(text, chr(10) || chr(10) ORDER BY turn, text) AS t FROM conversations WHERE role = 'system' GROUP BY 1
+    UNION ALL SELECT conv_id, 'LINKED WEB PAGES', 2, t FROM ({_linked("user", "page")})
+    UNION ALL SELECT conv_id, 'LINKED PDFs', 3, t FROM ({_linked("assistant", "PDF")}))
+  WHERE {_STRIP.format("t")} <> ''
+)"""
+_JOINED = "array_to_string(list_transform({0}, lambda x: x.text), chr(10) || chr(10))"
+# the last paragraphs, up to 60 tokens, of a chunk open the next one as one paragraph
+_OVERLAPS = f"""
+WITH RECURSIVE {_MARKED}, paras AS (
+  SELECT conv_id, part, row_number() OVER (PARTITION BY conv_id, part ORDER BY i) AS rn, p AS text, {tokens("p")} AS tok
+  FROM (SELECT conv_id, part, unnest(ps) AS p, unnest(range(len(ps))) AS i FROM (SELECT conv_id, part, string_split(text, chr(10) || chr(10)) AS ps FROM sections WHERE {tokens("text")} > 300)) WHERE regexp_matches(p, '\\S')
+), fold AS (
+  SELECT conv_id, part, rn, [{{'text': text, 'tok': tok}}] AS open, tok AS held, 0 AS over, CAST(NULL AS VARCHAR) AS said, CAST(NULL AS INTEGER) AS n, CAST(NULL AS INTEGER) AS o FROM paras WHERE rn = 1
+  UNION ALL
+  SELECT conv_id, part, rn, CASE WHEN NOT full_ THEN list_append(open, {{'text': text, 'tok': tok}}) WHEN {_JOINED.format("kept")} <> '' THEN [{{'text': {_JOINED.format("kept")}, 'tok': tail}}, {{'text': text, 'tok': tok}}] ELSE [{{'text': text, 'tok': tok}}] END,
+    CASE WHEN NOT full_ THEN held + tok WHEN {_JOINED.format("kept")} <> '' THEN tail + tok ELSE tok END, CASE WHEN NOT full_ THEN over WHEN {_JOINED.format("kept")} <> '' THEN tail ELSE 0 END,
+    CASE WHEN full_ THEN {_JOINED.format("open")} END, CASE WHEN full_ THEN held END, CASE WHEN full_ THEN over END
+  FROM (SELECT *, CAST(coalesce(list_sum(list_transform(kept, lambda x: x.tok)), 0) AS INTEGER) AS tail FROM (
+    SELECT f.conv_id, f.part, p.rn, p.text, p.tok, f.open, f.held, f.over, f.held + p.tok > 300 AS full_,
+      f.open[1 + len(list_filter(range(1, len(f.open) + 1), lambda i: list_sum(list_transform(f.open[i:], lambda x: x.tok)) > 60)):] AS kept
+    FROM fold f JOIN paras p ON p.conv_id = f.conv_id AND p.part = f.part AND p.rn = f.rn + 1))
+), said AS (
+  SELECT conv_id, part, rn, 0 AS z, said AS text, n AS token_count, o AS overlap_tokens FROM fold WHERE said IS NOT NULL
+  UNION ALL SELECT conv_id, part, rn, 1, {_JOINED.format("open")}, held, over FROM (SELECT *, max(rn) OVER (PARTITION BY conv_id, part) AS last FROM fold) WHERE rn = last
+  UNION ALL SELECT conv_id, part, 0, 0, text, {tokens("text")}, 0 FROM sections WHERE {tokens("text")} <= 300
+)
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY part, rn, z) AS INTEGER) AS chunk_index, label AS section, s.text, CAST(token_count AS INTEGER) AS token_count, CAST(overlap_tokens AS INTEGER) AS overlap_tokens
+FROM said s JOIN (SELECT conv_id, part, label FROM sections) USING (conv_id, part)"""
+
+
+@R.add(_OVERLAPS)
 def overlap_chunks(spark, sf_dir):
     out = _assembled(spark, sf_dir).select("conv_id", F.posexplode(C.chunk_structured(F.col("text"), 300, 60)).alias("i", "c"))
     return out.select("conv_id", (F.col("i") + 1).alias("chunk_index"), "c.*")
 
 
-@R.add(
-    r"""SELECT conv_id, label, CAST(n AS BIGINT) AS n FROM (
-  SELECT conv_id, 'PARENT CONTENT' AS label, 1 AS n FROM conversations WHERE role = 'system' GROUP BY conv_id HAVING max(length(text)) > 0
-  UNION ALL SELECT conv_id, 'LINKED WEB PAGES', 1 FROM conversations WHERE role = 'user' GROUP BY conv_id
-  UNION ALL SELECT conv_id, 'LINKED PDFs', 1 FROM conversations WHERE role = 'assistant' GROUP BY conv_id)"""
-)
+@R.add(f"WITH {_MARKED} SELECT conv_id, label, text FROM sections")
 def section_markers(spark, sf_dir):
     s = _assembled(spark, sf_dir).select("conv_id", F.explode(C.marker_sections(F.col("text"))).alias("s"))
-    return s.groupBy("conv_id", F.col("s.label").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    return s.select("conv_id", "s.label", "s.text")
 
 
 _CONT = f"""
