@@ -218,3 +218,29 @@ def subsections(label: Column) -> Column:
 def resolved(curated: Column, embedded: Column) -> Column:
     """The catalogue's value, else the file's, else empty."""
     return squeeze(F.coalesce(F.nullif(curated, F.lit("")), F.nullif(embedded, F.lit("")), F.lit("")))
+
+
+def template_guidance(template: Column) -> Column:
+    """(heading, questions) of a summary template: ``* `` lines are headings, the lines below them their questions."""
+    lines_of = F.filter(F.transform(lines(template), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+
+    def cut(own: Column) -> Column:
+        starts = F.filter(F.transform(own, lambda x, i: F.when(x.startswith("* "), i)), lambda i: i.isNotNull())
+        ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(own)))
+        return F.transform(
+            F.arrays_zip(starts.alias("lo"), ends.alias("hi")),
+            lambda r: F.struct(
+                F.regexp_replace(F.get(own, r["lo"]), r"^\*\s+", "").alias("heading"), F.slice(own, r["lo"] + 2, r["hi"] - r["lo"] - 1).alias("questions")
+            ),
+        )
+
+    return let(lines_of, cut)
+
+
+def guidance_block(template: Column) -> Column:
+    """The guidance of a template as a prompt holds it."""
+    parts = F.transform(
+        template_guidance(template),
+        lambda g: F.concat(F.lit('\n  "'), g["heading"], F.lit('"\n'), F.array_join(F.transform(g["questions"], lambda q: F.concat(F.lit("    → "), q, F.lit("\n"))), "")),
+    )
+    return F.array_join(parts, "")

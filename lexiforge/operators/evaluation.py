@@ -17,6 +17,11 @@ def ground_truth(wide: DataFrame, columns: dict[str, str]) -> DataFrame:
     return long.select("resource_id", F.col("p.dim").alias("dim"), F.explode(F.array_distinct(parts)).alias("tag"))
 
 
+def id_order(column: str = "resource_id") -> list[Column]:
+    """Order of resources: numbers by value, then the other ids."""
+    return [F.expr(f"try_cast(`{column}` AS BIGINT)").asc_nulls_last(), F.col(column).asc()]
+
+
 def matched_ids(predicted: DataFrame, truth: DataFrame) -> DataFrame:
     """Resources on both sides."""
     return predicted.select("resource_id").distinct().join(truth.select("resource_id").distinct(), "resource_id")

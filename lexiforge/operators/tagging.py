@@ -70,6 +70,41 @@ def validate_batch(proposals: DataFrame, taxonomy: DataFrame) -> DataFrame:
     )
 
 
+def clean_list(tags: Column, allowed: list[str]) -> tuple[Column, Column]:
+    """The canonical forms of the tags that are allowed, and the tags that aren't, in order."""
+    forms = F.create_map(*[F.lit(x) for t in allowed for x in (t.lower(), t)])
+    found = F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.struct(t.alias("said"), F.try_element_at(forms, F.lower(F.trim(t))).alias("tag")))
+    good = F.transform(F.filter(found, lambda x: x["tag"].isNotNull()), lambda x: x["tag"])
+    return good, F.transform(F.filter(found, lambda x: x["tag"].isNull() & x["said"].isNotNull()), lambda x: x["said"])
+
+
+def _without(tags: Column, others: Column) -> Column:
+    return F.filter(tags, lambda t: ~F.array_contains(others, t))
+
+
+def validate_answer(answer: Column, taxonomy: dict[str, list[str]] = X.BATCH_TAXONOMY) -> Column:
+    """A batch answer held against the taxonomy: tags, single values, sectors, and what was removed.
+
+    A block that is no object is reset without a note; a single value that isn't allowed becomes empty and is no
+    issue; a tag that is primary is not secondary.
+    """
+    tags, issues = [], []
+    for dim in X.MULTI:
+        block = F.from_json(F.get_json_object(answer, f"$.{dim}"), "primary array<string>, secondary array<string>")
+        (first, bad), (second, worse) = (clean_list(block[tier], taxonomy[dim]) for tier in ("primary", "secondary"))
+        removed = F.concat(bad, worse)
+        tags.append(F.struct(F.lit(dim).alias("dim"), first.alias("primary"), _without(second, first).alias("secondary"), removed.alias("removed")))
+        issues.append(F.when(F.size(removed) > 0, F.concat(F.lit(f"{dim}: removed "), F.array_join(removed, ", "))))
+    said = F.get_json_object(answer, "$.sector")
+    listed = F.coalesce(F.from_json(said, "array<string>"), F.transform(F.split(F.coalesce(said, F.lit("")), ","), lambda x: F.trim(x)))
+    sectors, others = clean_list(listed, X.SECTORS)
+    others = F.filter(others, lambda x: x != "")
+    issues.append(F.when(F.size(others) > 0, F.concat(F.lit("sector: removed "), F.array_join(others, ", "))))
+    log = F.filter(F.array(*issues), lambda x: x.isNotNull())
+    single = [clean_scalar(F.get_json_object(answer, f"$.{d}"), taxonomy[d]).alias(d) for d in X.SINGLE]
+    return F.struct(F.array(*tags).alias("tags"), *single, sectors.alias("sector"), log.alias("issues"), (F.size(log) == 0).alias("passed"))
+
+
 def clean_scalar(value: Column, allowed: list[str], fallback: str = "") -> Column:
     """The canonical form of a single value, or the fallback."""
     low, out = F.lower(F.trim(F.coalesce(value, F.lit("")))), F.lit(fallback)
@@ -191,6 +226,13 @@ def tag_stats(final: DataFrame, chunks: DataFrame) -> DataFrame:
     return work.join(counted, "resource_id", "left").na.fill(0)
 
 
+def resource_types(resources: DataFrame, tagged: DataFrame) -> DataFrame:
+    """``resources`` with the resource_type that a tagged resource has first, or the default."""
+    first = F.get(F.try_element_at("tags", F.lit("resource_type")), F.lit(0))["tag"]
+    known = tagged.select("resource_id", first.alias("resource_type")).where("resource_type is not null").dropDuplicates(["resource_id"])
+    return resources.join(known, "resource_id", "left").na.fill(X.DEFAULT_TYPE, ["resource_type"])
+
+
 def tagged_resource(final: DataFrame, conflict: DataFrame, stats: DataFrame) -> DataFrame:
     """One row a resource: a map from dimension to its tags, its conflicts and statistics."""
     entry = F.struct("tag", "confidence", "chunk_count", "chunk_indices", "evidence", "rescued")

@@ -178,14 +178,56 @@ def tag_stats(spark, sf_dir):
     return G.tag_stats(G.single_winner(_aggregated(spark, sf_dir)), chunks)
 
 
-@R.add()
-def tagged_resources(spark, sf_dir):
+def _tagged(spark, sf_dir):
     aggregated = _aggregated(spark, sf_dir)
     none = F.array().cast("array<string>")
     chunks = table(spark, sf_dir, "events").select(F.col("user_id").alias("resource_id"), none.alias("errors"), F.lit(8).alias("calls"))
     return G.tagged_resource(G.single_winner(aggregated), G.conflicts(aggregated), G.tag_stats(G.single_winner(aggregated), chunks))
 
 
+_TAG_LINE = "dim || '=' || tag || ':' || confidence || ':' || chunk_count || ':' || array_to_string(chunk_indices, '+') || ':' || rescued"
+
+
+@R.add(
+    f"""SELECT c.resource_id, n AS chunk_count, CAST(0 AS BIGINT) AS total_errors, CAST(8 * n AS BIGINT) AS total_calls, coalesce(t, 0) AS total_tags_assigned, coalesce(s, 0) AS tags_rescued, coalesce(tags, '') AS tags, coalesce(conflicts, '') AS conflicts
+FROM (SELECT user_id AS resource_id, count(*) AS n FROM events GROUP BY 1) c
+LEFT JOIN (SELECT resource_id, count(*) AS t, count(*) FILTER (rescued) AS s, string_agg({_TAG_LINE}, ';' ORDER BY {_TAG_LINE}) AS tags FROM {_WINNER} GROUP BY 1) USING (resource_id)
+LEFT JOIN (SELECT resource_id, string_agg(dim || '=' || conflict, ';' ORDER BY dim) AS conflicts FROM
+  (SELECT resource_id, dim, string_agg(tag, '|' ORDER BY seen) AS conflict FROM {_AGG} WHERE dim IN {_SINGLE} GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1) USING (resource_id)"""
+)
+def tagged_resources(spark, sf_dir):
+    out = _tagged(spark, sf_dir)
+    text = lambda c: c.cast("string")
+    line = lambda d, t: F.concat(d, F.lit("="), F.concat_ws(":", t["tag"], t["confidence"], text(t["chunk_count"]), F.array_join(F.transform(t["chunk_indices"], text), "+"), text(t["rescued"])))
+    lines = F.flatten(F.transform(F.map_entries("tags"), lambda e: F.transform(e["value"], lambda t: line(e["key"], t))))
+    split = F.transform("conflicts", lambda c: F.concat(c["dim"], F.lit("="), F.array_join(c["conflict"], "|")))
+    joined = {n: F.coalesce(F.array_join(F.array_sort(c), ";"), F.lit("")) for n, c in (("tags", lines), ("conflicts", split))}
+    return out.withColumns(joined)
+
+
+@R.add(
+    f"""SELECT c_custkey AS resource_id, coalesce(tag, '{X.DEFAULT_TYPE}') AS resource_type FROM customer
+LEFT JOIN (SELECT resource_id, tag FROM {_WINNER} WHERE dim = 'resource_type') ON resource_id = c_custkey"""
+)
+def summary_types(spark, sf_dir):
+    """The summariser's resource type from the tagged resource, or the default."""
+    return G.resource_types(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("resource_id")), _tagged(spark, sf_dir).select("resource_id", "tags"))
+
+
+@R.add(
+    """SELECT id, CAST(row_number() OVER (ORDER BY try_cast(id AS BIGINT) NULLS LAST, id) AS INTEGER) AS place
+FROM (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'r' || s_suppkey ELSE CAST(s_suppkey * 7 % 1000 AS VARCHAR) || CASE WHEN s_suppkey % 5 = 0 THEN 'x' ELSE '' END END || '' AS id FROM supplier) GROUP BY id"""
+)
+def resource_order(spark, sf_dir):
+    """Places of resources in a report: numbers by value, then the other ids."""
+    k = F.col("s_suppkey")
+    given = F.when(k % 3 == 0, F.concat(F.lit("r"), k.cast("string"))).otherwise(F.concat((k * 7 % 1000).cast("string"), F.when(k % 5 == 0, "x").otherwise("")))
+    ids = table(spark, sf_dir, "supplier").select(given.alias("id")).distinct()
+    from pyspark.sql import Window
+
+    return ids.withColumn("place", F.row_number().over(Window.orderBy(*E.id_order("id"))))
+
+
 @R.add(
     """SELECT t.resource_type, coalesce(k.heads, g.heads) AS headings FROM (SELECT DISTINCT CASE p_type WHEN 'SMALL' THEN 'Guidance' WHEN 'LARGE' THEN 'Legislation' WHEN 'MEDIUM' THEN 'Blog Post' ELSE 'Unheard of' END AS resource_type FROM part) t
 LEFT JOIN (SELECT * FROM (VALUES """

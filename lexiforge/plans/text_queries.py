@@ -372,3 +372,18 @@ def resolved_title(spark, sf_dir):
     c = F.col("c_custkey")
     own = F.when(c % 3 == 0, "").when(c % 3 == 1, F.col("c_name"))
     return table(spark, sf_dir, "customer").select("c_custkey", T.resolved(own, F.col("c_mktsegment")).alias("title"))
+
+
+# each part as a template of two headings with a question or two
+@R.add(
+    """SELECT p_partkey, p_name || '|' || p_type AS headings, 'What is ' || p_brand || '?|And ' || p_size || '?||Why?' AS questions,
+  chr(10) || '  "' || p_name || '"' || chr(10) || '    → What is ' || p_brand || '?' || chr(10) || '    → And ' || p_size || '?' || chr(10) || chr(10) || '  "' || p_type || '"' || chr(10) || '    → Why?' || chr(10) AS block FROM part"""
+)
+def template_guidance(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    template = F.concat(F.lit("Intro line\n\n*  "), "p_name", F.lit("\n  What is "), "p_brand", F.lit("?\n\nAnd "), size, F.lit("?\n* "), "p_type", F.lit("\n\tWhy? \n"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", template.alias("t"))
+    g = T.template_guidance(F.col("t"))
+    heads = F.array_join(F.transform(g, lambda x: x["heading"]), "|")
+    asked = F.array_join(F.transform(g, lambda x: F.array_join(x["questions"], "|")), "||")
+    return rows.select("p_partkey", heads.alias("headings"), asked.alias("questions"), T.guidance_block(F.col("t")).alias("block"))

@@ -2,8 +2,11 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from lexiforge.functions import model_json as J
-from lexiforge.operators import flows, models
+from lexiforge.functions import taxonomy as X
+from lexiforge.operators import flows, models, tagging
 
 
 def test_tolerant_json(spark):
@@ -28,6 +31,30 @@ def test_batch_routes(spark):
     out = {r.resource_id: r for r in flows.run_batch(df, lambda: models.RuleBackend(batch_rule)).collect()}
     assert {k: v.status for k, v in out.items()} == {1: "success", 2: "success", 3: "map_failed"}
     assert json.loads(out[2].answer)["resource_type"] == "Guidance"
+    assert out[1].validated.resource_type == "Guidance" and out[1].validated.passed and out[3].validated is None
+
+
+def test_batch_answers_are_validated(spark):
+    answer = {
+        "individual_characteristics": {"primary": [" disability ", "made up"], "secondary": ["Disability", "AGE", None]},
+        "career_pathway": "no block",
+        "organisational_culture": {"primary": "no list", "secondary": []},
+        "resource_type": "legislation ",
+        "resource_format": "Papyrus",
+        "sector": "academia, Moon, industry",
+    }
+    rows = [(1, json.dumps(answer)), (2, json.dumps({"sector": ["Other", "x"]})), (3, None), (4, "{}")]
+    df = spark.createDataFrame(rows, "id int, answer string")
+    out = {r.id: r.v for r in df.select("id", tagging.validate_answer(F.col("answer")).alias("v")).collect()}
+    tags = {t.dim: t for t in out[1].tags}
+    assert set(tags) == set(X.MULTI)
+    own = tags["individual_characteristics"]
+    allowed = {x.lower(): x for x in X.BATCH_TAXONOMY["individual_characteristics"]}
+    assert own.primary == [allowed["disability"]] and own.secondary == [allowed[x] for x in ("age",) if x in allowed]
+    assert own.removed[0] == "made up" and tags["career_pathway"].removed == tags["organisational_culture"].primary == []
+    assert (out[1].resource_type, out[1].resource_format, out[1].sector) == ("Legislation", "", ["Academia", "Industry"])
+    assert not out[1].passed and out[1].issues[-1] == "sector: removed Moon" and out[2].issues == ["sector: removed x"]
+    assert out[3].passed and out[4].passed and out[4].sector == []
 
 
 def tag_rule(prompt):
