@@ -149,7 +149,7 @@ def sentences(text: Column) -> Column:
 def lines(text: Column) -> Column:
     """Lines as str.splitlines() cuts them."""
     cut = F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
-    return F.when(F.element_at(cut, -1) == "", F.slice(cut, F.lit(1), F.size(cut) - 1)).otherwise(cut)
+    return let(cut, lambda c: F.when(F.element_at(c, -1) == "", F.slice(c, F.lit(1), F.size(c) - 1)).otherwise(c))
 
 
 def part_label(title: Column, part: Column, total: Column, continued: Column) -> Column:

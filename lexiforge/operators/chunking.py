@@ -28,7 +28,7 @@ def units(texts: Column) -> Column:
 def runs(items: Column, starts: Column) -> Column:
     """Consecutive items cut before the positions ``starts``, of which 0 is the first."""
     ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(items)))
-    return F.transform(F.arrays_zip(starts.alias("lo"), ends.alias("hi")), lambda r: F.slice(items, r["lo"] + 1, r["hi"] - r["lo"]))
+    return F.transform(F.arrays_zip(starts.alias("lo"), ends.alias("hi")), lambda r: F.slice(items, r["lo"] + 1, r["hi"] - r["lo"]))  # items: bound by let
 
 
 def packed(items: Column, tokens, threshold: int, alone=None) -> Column:
@@ -49,7 +49,7 @@ def packed(items: Column, tokens, threshold: int, alone=None) -> Column:
             (acc["i"] + 1).alias("i"),
         )
 
-    return let(F.aggregate(items, empty, step, lambda acc: acc["starts"]), lambda starts: runs(items, starts))
+    return let(items, lambda own: let(F.aggregate(own, empty, step, lambda acc: acc["starts"]), lambda starts: runs(own, starts)))
 
 
 def greedy_pack(sized: Column, threshold: int) -> Column:
@@ -68,16 +68,16 @@ def heading_sections(text: Column) -> Column:
     """(heading, body) pairs; text before the first heading has none. A heading without body counts too."""
 
     def cut(lines: Column) -> Column:
-        heads = F.filter(F.transform(lines, lambda x, i: F.when(T.is_chunk_heading(x), i)), lambda i: i.isNotNull())
-        # each part begins with its heading; one more line before all stands for none
-        parts = let(F.concat(F.array(F.lit(0)), F.transform(heads, lambda i: i + 1)), lambda starts: runs(F.concat(F.array(F.lit(None).cast("string")), lines), starts))
+        # each part begins with its heading; the line before all stands for none
+        heads = F.filter(F.transform(lines, lambda x, i: F.when((i == 0) | T.is_chunk_heading(x), i)), lambda i: i.isNotNull())
+        parts = let(heads, lambda starts: runs(lines, starts))
         pairs = F.transform(
             parts, lambda p: F.struct(strip(F.get(p, F.lit(0))).alias("heading"), strip(F.array_join(F.slice(p, F.lit(2), F.size(p)), "\n")).alias("body"))
         )
         return F.filter(pairs, lambda s: s["heading"].isNotNull() | (s["body"] != ""))
 
     whole = F.array(F.struct(F.lit(None).cast("string").alias("heading"), strip(text).alias("body")))
-    return let(let(T.lines(text), cut), lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
+    return let(let(F.concat(F.array(F.lit(None).cast("string")), T.lines(text)), cut), lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
 
 
 def _chunk(text, tokens, tier, title, label, cont, part, total, reason) -> Column:

@@ -8,7 +8,7 @@ from ..functions import text as T
 from ..functions import urls as U
 from ..operators import documents as D
 from ..operators import web as W
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .registry import Registry, tokens, words
 
 R = Registry()
@@ -102,7 +102,7 @@ FROM (
 
 def _fetched(spark, sf_dir):
     """Pages as fetched resources; some stand in for documents and for failures."""
-    pages = table(spark, sf_dir, "pages").select(
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
         F.col("page_id").alias("resource_id"),
         F.when(F.col("page_id") % 7 == 0, F.concat(F.regexp_replace("url", r"[?#].*$", ""), F.lit(".pdf"))).otherwise(F.col("url")).alias("url"),
         F.when(F.col("page_id") % 11 == 0, "robots-blocked").alias("failure"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import links as L
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .registry import Registry, tokens
 
 R = Registry()
@@ -31,7 +31,7 @@ def _pages(spark, sf_dir):
         number(5), F.lit("\">go out</a><a class=file href='/files/"), F.col("page_id").cast("string"), F.lit(".pdf'>the <b>file</b> &amp; more</a>"),
         F.lit('<a href="../up/../above-'), number(3), F.lit('.pdf">one level up</a>'), F.lit(_MORE),
     )
-    return table(spark, sf_dir, "pages").select("page_id", "url", more.alias("html"))
+    return spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", more.alias("html"))
 
 
 _BARE = "regexp_replace(base, '[?#].*$', '')"

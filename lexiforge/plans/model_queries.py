@@ -10,7 +10,7 @@ from ..functions import text as T
 from ..operators import chunking as C
 from ..operators import documents as D
 from ..operators import flows, layout, models, section_roles, web
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .link_queries import links_sql
 from .registry import Registry, tokens, words
 
@@ -36,7 +36,7 @@ def backend() -> models.RuleBackend:
 
 
 def _resources(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("resource_id"), "url", F.lit("").alias("title"), "html")
+    return spread(table(spark, sf_dir, "pages").select(F.col("page_id").alias("resource_id"), "url", F.lit("").alias("title"), "html"))
 
 
 def _strings(x: str) -> str:
@@ -109,7 +109,7 @@ def linked_page_clean(spark, sf_dir):
 
 def _chunks(spark, sf_dir):
     # the flows read them several times
-    return models.once(C.chunk_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return models.once(C.chunk_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))))
 
 
 @R.add()

@@ -10,7 +10,7 @@ from ..functions.fixed_values import KNOWN_SECTIONS
 from ..operators import chunking as C
 from ..operators import flat_text as P
 from ..operators import tagging as G
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .registry import Registry, tokens, words
 
 R = Registry()
@@ -18,8 +18,12 @@ R = Registry()
 _LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents"
 
 
+def _documents(spark, sf_dir):
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _pages(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.lit(1).alias("page"), "text")
+    return _documents(spark, sf_dir).withColumn("page", F.lit(1))
 
 
 @R.add(
@@ -87,7 +91,7 @@ _SENTENCES = r"""SELECT doc_id, unnest(list_filter(list_transform(string_split(r
 
 @R.add(f"SELECT doc_id, count(*) AS n, CAST(max(length(sentence)) AS INTEGER) AS longest, CAST(sum({words('sentence')}) AS BIGINT) AS words FROM ({_SENTENCES}) GROUP BY 1")
 def sentence_split(spark, sf_dir):
-    s = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.sentences(F.col("text"))).alias("sentence"))
+    s = _documents(spark, sf_dir).select("doc_id", F.explode(T.sentences(F.col("text"))).alias("sentence"))
     return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("sentence")).alias("longest"), F.sum(T.word_count(F.col("sentence"))).alias("words"))
 
 
@@ -106,7 +110,7 @@ WITH RECURSIVE u AS (
 def greedy_pack(spark, sf_dir):
     """Lines packed to 800 tokens; one array fold a document."""
     sized = C.units(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
-    groups = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(C.greedy_pack(sized, 800)).alias("i", "own"))
+    groups = _documents(spark, sf_dir).select("doc_id", F.posexplode(C.greedy_pack(sized, 800)).alias("i", "own"))
     total = F.aggregate("own", F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
     return groups.select("doc_id", (F.col("i") + 1).alias("grp"), F.size("own").cast("long").alias("units"), total.alias("tokens"))
 
@@ -188,7 +192,7 @@ WITH RECURSIVE lines AS (
 
 @R.add(_CHUNKS + " SELECT * FROM chunks")
 def chunk_rhetorical(spark, sf_dir):
-    return C.chunk_documents(table(spark, sf_dir, "documents"))
+    return C.chunk_documents(_documents(spark, sf_dir))
 
 
 @R.add(
@@ -199,7 +203,7 @@ FROM chunks GROUP BY 1"""
 )
 def chunk_report(spark, sf_dir):
     joined = {c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",") for c in ("over_threshold", "tiny")}
-    return C.chunk_report(C.chunk_documents(table(spark, sf_dir, "documents"))).withColumns(joined)
+    return C.chunk_report(C.chunk_documents(_documents(spark, sf_dir))).withColumns(joined)
 
 
 # lines cut at merged headings, without running heads; headings once a document; runs of short headings are lists; small sections joined
