@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread, table
 from . import (
     bpe_codec,
     chat_format,
@@ -24,7 +25,8 @@ from . import (
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A whole table; one of very few files is dealt over the cores first."""
+    return spread(table(spark, sf_dir, name))
 
 
 #: Context length against which op1 compares.
