@@ -83,7 +83,7 @@ PREFIXES = (3, 4, 5, 6, 7, 8, 9, 10)
 LEAST, PURITY = 0.01, 0.9
 
 #: Texts read together.
-TOGETHER = 256
+TOGETHER = 128
 LETTER = np.random.default_rng(0xC1A55).integers(1, 2**63, 256, dtype=np.uint64)
 #: What a word can be; a word's kinds are one small number.
 ODD, UPPER, LOUD, BARE, INSULT, LEARNT_A, LEARNT_B = (1 << i for i in range(7))
@@ -336,16 +336,17 @@ def train(rows: list[np.ndarray], target: np.ndarray, family: slice, rounds: int
 
 
 def _read(learnt: Lexicons):
-    """(text, rest) -> (pattern, ids, rest)."""
+    """(text, rest), or (rest) that holds the text -> (pattern, ids, rest)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = Reader(learnt)
         for batch in batches:
             for lo in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(lo, TOGETHER)
-                found = read(part.column(0).to_pylist())
+                rest = part.column(part.num_columns - 1)
+                found = read((part.column(0) if part.num_columns > 1 else rest.field("text")).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p for p, _ in found], pa.string()), pa.array([packed(i) for _, i in found], pa.binary()), part.column(1)], names=["pattern", "ids", "rest"]
+                    [pa.array([p for p, _ in found], pa.string()), pa.array([packed(i) for _, i in found], pa.binary()), rest], names=["pattern", "ids", "rest"]
                 )
 
     return run
@@ -431,6 +432,8 @@ def _judged(docs: DataFrame, labels: DataFrame | None, rest: Column, sample: int
         known_tone = {r["tone"]: (r["n"] - r["toxic"], r["toxic"]) for r in told.groupBy(F.right("pattern", F.lit(len(TONE))).alias("tone")).agg(F.count(F.lit(1)).alias("n"), F.sum("rest.toxic").alias("toxic")).collect()}
         staging.drop("labelled")
     source = docs.select("text", rest.alias("rest"))
+    if "text" in source.schema["rest"].dataType.names:  # a text travels once
+        source = source.select("rest")
     schema = StructType([StructField("pattern", StringType()), StructField("ids", BinaryType()), source.schema["rest"]])
     read = staging.put(source.mapInArrow(_read(learnt), schema), "read")
     counted = read.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()
