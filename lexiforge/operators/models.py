@@ -65,8 +65,10 @@ def once(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        own = "file://" + os.path.join(tempfile.gettempdir(), "lexiforge-shared")
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(folder or "file://" + os.path.join(tempfile.gettempdir(), "lexiforge-shared"))
     return df.checkpoint()
 
 

@@ -7,11 +7,14 @@ import re
 import time
 import zipfile
 from collections.abc import Iterator
+from functools import lru_cache
 from xml.etree import ElementTree
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from ..functions import urls as U
 
@@ -134,27 +137,30 @@ def uncached(wanted: DataFrame, cached: DataFrame) -> DataFrame:
 # -- the web -------------------------------------------------------------------------
 
 
-def allowed(rules: str | None, agent: str, url: str) -> bool:
-    """Whether a robots.txt lets an agent at an address; without rules all is allowed."""
+@lru_cache(maxsize=1024)
+def _parser(rules: str):
     from urllib.robotparser import RobotFileParser
 
-    if not rules:
-        return True
     parser = RobotFileParser()
     parser.parse(rules.splitlines())
-    return parser.can_fetch(agent, url)
+    return parser
+
+
+def allowed(rules: str | None, agent: str, url: str) -> bool:
+    """Whether a robots.txt lets an agent at an address; without rules all is allowed. Rules are parsed once."""
+    return not rules or _parser(rules).can_fetch(agent, url)
 
 
 def robots_gate(urls: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
     """``urls`` with ``allowed``, from a table of rules by host."""
 
-    @F.udf("boolean")
-    def gate(rules, url):
-        return allowed(rules, agent, url)
+    @F.pandas_udf(BooleanType())
+    def gate(rules: pd.Series, url: pd.Series) -> pd.Series:
+        return pd.Series([allowed(r, agent, u) for r, u in zip(rules, url, strict=True)], dtype=bool)
 
     hosts = robots.select(F.col("host").alias("__host"), F.col("rules").alias("__rules"))
     out = urls.join(hosts, U.netloc(F.col("url")) == F.col("__host"), "left")
-    return out.withColumn("allowed", F.when(F.col("__rules").isNull(), True).otherwise(gate("__rules", "url"))).drop("__host", "__rules")
+    return out.withColumn("allowed", gate("__rules", "url")).drop("__host", "__rules")
 
 
 def failure(kind: Column, detail: Column) -> Column:
