@@ -108,8 +108,8 @@ WITH RECURSIVE u AS (
 
 @R.add(_PACK + " SELECT doc_id, CAST(grp AS INTEGER) AS grp, count(*) AS units, CAST(sum(tok) AS BIGINT) AS tokens FROM g GROUP BY 1, 2")
 def greedy_pack(spark, sf_dir):
-    """Lines packed to 800 tokens; one array fold a document."""
-    sized = C.units(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
+    """Lines packed to 800 tokens; one array fold a document. Lines of spaces of any kind don't count."""
+    sized = C.units(F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\p{Zs}]")))
     groups = _documents(spark, sf_dir).select("doc_id", F.posexplode(C.greedy_pack(sized, 800)).alias("i", "own"))
     total = F.aggregate("own", F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
     return groups.select("doc_id", (F.col("i") + 1).alias("grp"), F.size("own").cast("long").alias("units"), total.alias("tokens"))

@@ -199,6 +199,20 @@ def test_packing_sizes(spark):
     assert [[u.tokens for u in g] for g in groups] == [[301, 400], [201], [900], [10]]
 
 
+def test_blank_lines_and_documents_make_no_groups(spark, tmp_path):
+    import duckdb
+
+    from lexiforge.plans import text_queries as Q
+
+    rows = [(1, "a b\nc"), (2, ""), (3, " \n  "), (4, None), (5, "\t\nx"), (6, "a\n\u00a0\u2003\n\u3000 \nb"), (7, "\u00a0"), (8, "\r\na")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in Q.greedy_pack(spark, str(tmp_path)).collect())
+    assert got == [(1, 1, 2, 3), (5, 1, 2, 1), (6, 1, 2, 2), (8, 1, 2, 1)]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.execute(Q.R.sql["greedy_pack"]).fetchall())
+
+
 def test_overlap_chunks(spark):
     unit = lambda n, c: " ".join([c] * n)
     paras = [unit(20, "a"), unit(30, "b"), unit(5, "c"), unit(8, "d"), unit(40, "e")]
