@@ -157,19 +157,19 @@ def _title(page: dom.Outline) -> int | None:
     return next(page.named(("title",)), None)
 
 
-def _parse_page(source: str, url: str, title: str) -> dict:
-    page = dom.parse(source)
+def _parse_page(source: str, url: str, title: str, closed: bool) -> dict:
+    page = dom.parse(source, closed)
     tag = _title(page)
     out = {"page_title": title if tag is None else page.text(tag, " "), "description": normalise(description(page)), "links": targets(page, url)}
     strip_boilerplate(page)  # after the links, which the navigation holds too
     return {**out, "sections": sections(page)}
 
 
-def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _clean(batches: Iterator[pa.RecordBatch], closed: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, url, title, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            page = _parse_page(source, url or "", title or "") if source else None
+            page = _parse_page(source, url or "", title or "", closed) if source else None
             rows.append({"resource_id": key, "url": url, "page": page})
         kind = pa.schema([("resource_id", pa.int64()), ("url", pa.string()), ("page", pa.struct(list(PARSED)))])
         yield pa.RecordBatch.from_pylist(rows, schema=kind)
@@ -200,10 +200,13 @@ def said(label: str, value: Column) -> Column:
     return F.when(F.coalesce(value, F.lit("")) != "", F.concat(F.lit(f"{label}: "), value))
 
 
-def clean_pages(pages: DataFrame) -> DataFrame:
-    """Cleaned pages from (resource_id, url, title, html); null html is a failed fetch with empty results."""
+def clean_pages(pages: DataFrame, closed: bool = False) -> DataFrame:
+    """Cleaned pages from (resource_id, url, title, html); null html is a failed fetch with empty results.
+
+    ``closed``: only character references with their semicolon are read.
+    """
     kind = ", ".join(f"{a}:{b}" for a, b in (x.split(" ", 1) for x in PARSED_DDL.split(", ")))
-    parsed = pages.select("resource_id", "url", "title", "html").mapInArrow(_clean, f"resource_id long, url string, page struct<{kind}>")
+    parsed = pages.select("resource_id", "url", "title", "html").mapInArrow(lambda batches: _clean(batches, closed), f"resource_id long, url string, page struct<{kind}>")
     good = F.col("page").isNotNull()
     body = T.squeeze(F.array_join(F.transform("page.sections", lambda s: s["content"]), " "))
     out = parsed.select(
@@ -240,8 +243,8 @@ def clean_pages(pages: DataFrame) -> DataFrame:
 # -- linked pages -----------------------------------------------------------------
 
 
-def _linked_page(source: str, url: str) -> dict:
-    page = dom.parse(source)
+def _linked_page(source: str, url: str, closed: bool) -> dict:
+    page = dom.parse(source, closed)
     tag = _title(page)
     meta = next((i for i in page.named(("meta",)) if page.attrs[i].get("name", "").lower() == "description"), None)
     page.remove(lambda i: page.name[i] in V.LINKED_NOISE_TAGS or bool(_LINKED_NOISE.search(page.marks(i))))
@@ -261,19 +264,19 @@ def _linked_page(source: str, url: str) -> dict:
     }
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], closed: bool = False) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("resource_id", pa.int64()), ("url", pa.string()), ("title", pa.string()), ("description", pa.string()), ("headings", pa.list_(pa.string())), ("body_text", pa.string()), ("pdf_links", _LINK), ("external_links", _LINK)]
     )
     for batch in batches:
-        rows = [{"resource_id": k, "url": u, **_linked_page(s or "", u or "")} for k, u, s in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        rows = [{"resource_id": k, "url": u, **_linked_page(s or "", u or "", closed)} for k, u, s in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def clean_linked_pages(pages: DataFrame) -> DataFrame:
-    """Pages that a resource links to, from (resource_id, url, html), in the fixed six-block text."""
+def clean_linked_pages(pages: DataFrame, closed: bool = False) -> DataFrame:
+    """Pages that a resource links to, from (resource_id, url, html), in the fixed six-block text; ``closed`` as in ``clean_pages``."""
     kind = f"resource_id long, url string, title string, description string, headings array<string>, body_text string, pdf_links {_LINK_DDL}, external_links {_LINK_DDL}"
-    out = pages.select("resource_id", "url", "html").mapInArrow(_linked, kind)
+    out = pages.select("resource_id", "url", "html").mapInArrow(lambda batches: _linked(batches, closed), kind)
     some = lambda items, none: F.when(F.size(items) > 0, listed(items)).otherwise(none)
     text = F.concat_ws(
         "\n\n",

@@ -1,5 +1,7 @@
 """Page cleaning on hand-made pages."""
 
+import duckdb
+
 from lexiforge.functions import dom
 from lexiforge.operators import links as L
 from lexiforge.operators import web as W
@@ -97,3 +99,20 @@ def test_headings_once():
 def test_visible_words(spark):
     df = spark.createDataFrame([("<p>one two</p><noscript>no</noscript><script>var x</script>three",), (None,)], "html string")
     assert [r[0] for r in df.select(W.visible_words("html")).collect()] == [3, 0]
+
+
+def test_references_cut_off(spark, tmp_path):
+    from lexiforge.plans import model_queries as Q
+
+    assert dom.parse("a&amp;b &lt c &#65; &#66 &nosuch; &", closed=True).text() == "a&b &lt c A &#66 &nosuch; &"
+    assert dom.parse("a&amp;b &lt c &#65; &#66").text() == "a&b < c A B"
+    assert dom.parse("<a href='/x?a=1&copy=2&amp;c=3'>y</a>", closed=True).attrs[1]["href"] == "/x?a=1&copy=2&c=3"
+    html = "<title>x &amp;&amp;&amp</title><article><h1>x &amp;&amp;&amp</h1><p>Words of one paragraph &amp; more.</p></article>"
+    spark.createDataFrame([(1, "http://h.example/", html)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("page_clean", "linked_page_clean"):
+        got = Q.R.queries[name](spark, str(tmp_path))
+        want = con.execute(Q.R.sql[name])
+        columns = [c[0] for c in want.description]
+        assert [tuple(r) for r in got.select(columns).collect()] == want.fetchall()
