@@ -243,7 +243,7 @@ SELECT doc_id, CAST(section_no AS BIGINT) AS section_no, heading, content, {word
 
 @R.add(_FLAT)
 def flat_sections(spark, sf_dir):
-    return P.sections(P.tagged_lines(_pages(spark, sf_dir)))
+    return P.flat_sections(_pages(spark, sf_dir))
 
 
 def _assembled(spark, sf_dir):

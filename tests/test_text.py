@@ -267,3 +267,34 @@ def test_long_lines_lose_no_words(spark):
     line = "3. Heading words " + " ".join(f"w{i}" for i in range(120_000))
     got = spark.createDataFrame([(line,)], "line string").select(P.split_merged(F.col("line")).alias("p")).first().p
     assert " ".join(got) == line and len(got[0].split()) == P.HEAD_WORDS
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flat_sections_in_one_pass(spark):
+    rng = random.Random(3)
+    lines = ["Introduction", "1. First things here", "Key findings Methodology", "Running head", "12", "AIMS", "Results", "exam- ple of words", "1. Ab cd 2. Ef gh", "", "Conclusion, and more"]
+    rows = [(d, p, "\n".join(rng.choice([*lines, " ".join(["word"] * rng.randint(1, 30))]) for _ in range(rng.randint(0, 12)))) for d in range(40) for p in (2, 1)]
+    df = spark.createDataFrame([*rows, (99, 1, None)], "doc_id long, page int, text string")
+    whole, steps = P.flat_sections(df), P.sections(P.tagged_lines(df))
+    got = sorted(tuple(r) for r in whole.collect())
+    assert got == sorted(tuple(r) for r in steps.collect()) and len(got) > 40
+    fresh = plan(P.flat_sections(df))  # not run yet
+    assert fresh.count("Exchange") == 1 and "Window" not in fresh
+
+
+def test_chunks_are_cut_in_batches(spark):
+    df = spark.createDataFrame([(1, "# A\nx"), (2, None)], "doc_id long, text string")
+    assert "MapInArrow" in plan(C.chunk_documents(df)) and "transform(" not in plan(C.chunk_documents(df))
+
+
+def test_batches_are_taken_a_few_rows_at_a_time():
+    import pyarrow as pa
+
+    from lexiforge.functions.batches import ROWS, slices
+
+    batch = pa.RecordBatch.from_pydict({"x": list(range(2 * ROWS + 3))})
+    got = [b.column(0).to_pylist() for b in slices(iter([batch, batch.slice(0, 0)]))]
+    assert [len(x) for x in got] == [ROWS, ROWS, 3] and sum(got, []) == batch.column(0).to_pylist()
