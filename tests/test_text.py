@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -298,3 +299,15 @@ def test_batches_are_taken_a_few_rows_at_a_time():
     batch = pa.RecordBatch.from_pydict({"x": list(range(2 * ROWS + 3))})
     got = [b.column(0).to_pylist() for b in slices(iter([batch, batch.slice(0, 0)]))]
     assert [len(x) for x in got] == [ROWS, ROWS, 3] and sum(got, []) == batch.column(0).to_pylist()
+
+
+def test_nfkc_yields_a_few_rows_at_a_time(spark):
+    import pyarrow as pa
+
+    from lexiforge.functions.batches import ROWS
+
+    texts = [None if i % 7 == 0 else f"{i} \ufb01\u00b2" if i % 3 else f"{i}" for i in range(3 * ROWS + 5)]
+    assert [len(x) for x in T.nfkc.func(iter([pa.array(texts)]))] == [ROWS] * 3 + [5]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string").coalesce(1)
+    got = dict(tuple(r) for r in df.select("i", T.nfkc("t").alias("t")).collect())
+    assert got == {i: None if t is None else unicodedata.normalize("NFKC", t) for i, t in enumerate(texts)}
