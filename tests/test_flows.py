@@ -152,3 +152,26 @@ def test_backends(spark):
     got = {r.id: r.answer for r in models.ask(df, lambda: models.RecordedBackend({"p": "yes"})).collect()}
     assert got == {1: "yes", 2: None, 3: None}
     assert models.HttpBackend("http://127.0.0.1:9/none", "m", timeout=1).ask("p") is None
+
+
+def test_prompts_are_asked_in_small_batches(spark, monkeypatch):
+    from lexiforge.functions.batches import ROWS
+    from lexiforge.operators import models
+
+    class Counted:
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+        def select(self, *_):
+            return self
+
+        schema = spark.range(0).selectExpr("id", "string(id) as __prompt").schema
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(models, "once", lambda df: df)
+    rows = models.ask(Counted(), lambda: models.RuleBackend(lambda p: p + "!"))
+    batch = pa.RecordBatch.from_pydict({"id": list(range(ROWS + 2)), "__prompt": [str(i) for i in range(ROWS + 2)]})
+    out = list(rows.run(iter([batch])))
+    assert [b.num_rows for b in out] == [ROWS, 2] and out[1].to_pydict() == {"id": [ROWS, ROWS + 1], "answer": [f"{ROWS}!", f"{ROWS + 1}!"]}
